@@ -6,9 +6,10 @@ prefixes. Pairs that meet in a prefix token pass the length, positional and bitm
 before their sets are compared. A line goes if an earlier line (by document id, text hash
 and line number) has the same set or one of Jaccard 0.8 or more, be that one kept or not.
 
-Equal lines are one node from the start. In a large bucket of a token all members are first
-compared with one pivot; only those that stay unmatched meet the rest of the bucket, so a
-group of n variants costs about n comparisons, and no match is lost.
+Equal lines are one node from the start. The members of a token's bucket are first compared
+with a pivot and their neighbours in an order that puts variants side by side; only those
+that stay unmatched meet the rest of a large bucket, so a group of n variants costs about n
+comparisons, and no match is lost.
 """
 
 from __future__ import annotations
@@ -22,12 +23,18 @@ from quillon.llm.common import SPACE, cut, text_or_empty
 
 #: Counters of the rarity table; the driver holds this many numbers and no more.
 COUNTERS = 1 << 16
-#: Buckets up to this size are compared in full at once.
+#: Buckets up to this size are compared in full at once; in others each member meets the
+#: pivot and so many neighbours, less one.
 SMALL = 8
 
 
-def _hashes(line: str | Column) -> Column:
-    return F.array_distinct(F.transform(F.filter(F.split(line, SPACE), lambda w: w != ""), lambda w: F.xxhash64(w)))
+def _words(line: str) -> Column:
+    """Words of a line that has one: without white space at the ends, no piece is empty."""
+    return F.split(F.btrim(F.col(line), F.lit(" \t\n\x0b\f\r")), SPACE)
+
+
+def _hashes(line: str) -> Column:
+    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
 
 
 def _slot(h: Column) -> Column:
@@ -62,9 +69,10 @@ def _needed(n: Column) -> Column:
 def _nodes(docs: DataFrame) -> DataFrame:
     """Distinct lines: lid, l1, l2 (hashes), first (place), n, parity, prefix."""
     ranks = rarity(docs)
-    lines = _lines(docs).select("doc_id", "th", "line_no", F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _hashes("line").alias("h"))
-    keys = F.transform("h", lambda x: F.shiftleft(F.get(ranks, _slot(x).cast("int")), 56).bitwiseOR(x.bitwiseAND(F.lit((1 << 56) - 1))))
-    sets = lines.select("*", F.sort_array(keys).alias("t"), F.size("h").alias("n"))
+    lines = _lines(docs).select("doc_id", "th", "line_no", F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _words("line").alias("words"))
+    # rank of the word's counter above 56 bits of its hash
+    key = lambda w: F.shiftleft(F.get(ranks, _slot(F.xxhash64(w)).cast("int")), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1)))
+    sets = lines.select("doc_id", "th", "line_no", "l1", "l2", F.sort_array(F.array_distinct(F.transform("words", key))).alias("t")).withColumn("n", F.size("t"))
     parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.transform(F.slice("t", 1, (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1).cast("int")), lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     rows = sets.select("l1", "l2", _place().alias("first"), "n", parity.alias("parity"), prefix.alias("prefix"))
@@ -85,7 +93,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, lids: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     found = texts.join(by, (F.col("th") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))).select(F.split("text", "\n").alias("lines"), "of")
     each = found.select("lines", F.explode("of").alias("one")).select("one.lid", "one.first", F.element_at("lines", F.col("one.first.line_no") + 1).alias("line"))
-    return cut(each.select("lid", "first", _hashes("line").alias("h")), "sets")
+    return each.select("lid", "first", _hashes("line").alias("h"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -101,27 +109,33 @@ def find(docs: DataFrame) -> DataFrame:
     """l1, l2, first of the distinct lines, and `matched`: an earlier other line matches."""
     docs = docs.select("doc_id", "text")
     nodes = _nodes(docs)
-    tokens = nodes.select("lid", "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+    # the document's id alone tells most later lines from earlier ones; the sets know the rest
+    tokens = nodes.select("lid", F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("d"), "n", "parity", F.get("prefix", F.lit(0)).alias("head"), F.posexplode("prefix").alias("pos", "token"))
     bucket = Window.partitionBy("token")
-    head = F.first(F.struct("lid", "n", "pos", "parity")).over(bucket.orderBy("lid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = cut(tokens.withColumn("members", F.count("*").over(bucket)).withColumn("pivot", head).where("members > 1"), "buckets")
-
+    beside = bucket.orderBy("head", "n", "lid")
+    one = F.struct("lid", "n", "pos", "parity")
     c = F.col
-    lone = met.where(c("lid") != c("pivot.lid")).where(_may_match(c("n"), c("pos"), c("parity"), c("pivot.n"), c("pivot.pos"), c("pivot.parity")))
-    pairs = lone.select(c("lid").alias("a"), c("pivot.lid").alias("b"))
-    side = lambda rows, k: rows.select(c("token").alias(f"token{k}"), c("lid").alias(f"lid{k}"), c("n").alias(f"n{k}"), c("pos").alias(f"pos{k}"), c("parity").alias(f"parity{k}"))
-    fits = (c("token1") == c("token2")) & (c("lid1") > c("lid2")) & _may_match(c("n1"), c("pos1"), c("parity1"), c("n2"), c("pos2"), c("parity2"))
-    few = met.where(c("members") <= SMALL)
-    pairs = pairs.unionByName(side(few, 1).join(side(few, 2), fits).select(c("lid1").alias("a"), c("lid2").alias("b")))
+    met = tokens.withColumn("members", F.count("*").over(bucket)).withColumn("o0", F.first(one).over(beside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    met = met.withColumns({f"o{k}": F.lag(one, k).over(beside) for k in range(1, SMALL)}).where("members > 1")
+    fits = [(c(f"o{k}.lid") != c("lid")) & _may_match(c("n"), c("pos"), c("parity"), c(f"o{k}.n"), c(f"o{k}.pos"), c(f"o{k}.parity")) for k in range(SMALL)]
+    some = fits[0]
+    for f in fits[1:]:
+        some = F.coalesce(some, F.lit(False)) | F.coalesce(f, F.lit(False))
+    others = F.when(some, F.array_distinct(F.array_compact(F.array(*(F.when(f, c(f"o{k}.lid")) for k, f in enumerate(fits))))))
+    large = F.when(c("members") > SMALL, F.struct("token", "d", "n", "pos", "parity"))
+    met = cut(met.select("lid", others.alias("others"), large.alias("large")).where("others is not null or large is not null"), "buckets")
+
+    pairs = met.where("others is not null").select("lid", F.explode("others").alias("other")).select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b"))
     pairs = cut(pairs.distinct(), "pairs")
     lids = lambda p: p.select(c("a").alias("lid")).unionByName(p.select(c("b").alias("lid"))).distinct()
     matched = cut(_verified(pairs, _sets(docs, nodes, lids(pairs))), "matched")
 
-    # members of large buckets that no pivot has matched meet all of their buckets
-    large = met.where(c("members") > SMALL)
+    # members of large buckets that their neighbours have not matched meet the earlier ones
+    large = met.where("large is not null").select("lid", "large.*")
+    side = lambda rows, k: rows.select(*(c(x).alias(f"{x}{k}") for x in ("token", "lid", "d", "n", "pos", "parity")))
     open_ = side(large.join(matched.withColumnRenamed("lid", "done"), c("lid") == c("done"), "left_anti"), 1)
-    fits = (c("token1") == c("token2")) & (c("lid1") != c("lid2")) & _may_match(c("n1"), c("pos1"), c("parity1"), c("n2"), c("pos2"), c("parity2"))
-    more = open_.join(side(large, 2), fits).select(F.greatest("lid1", "lid2").alias("a"), F.least("lid1", "lid2").alias("b")).distinct()
+    fit = (c("token1") == c("token2")) & (c("lid1") != c("lid2")) & (c("d2") <= c("d1")) & _may_match(c("n1"), c("pos1"), c("parity1"), c("n2"), c("pos2"), c("parity2"))
+    more = open_.join(side(large, 2), fit).select(F.greatest("lid1", "lid2").alias("a"), F.least("lid1", "lid2").alias("b")).distinct()
     more = cut(more.join(pairs.select(c("a").alias("pa"), c("b").alias("pb")), (c("a") == c("pa")) & (c("b") == c("pb")), "left_anti"), "more")
     if not more.isEmpty():
         matched = matched.unionByName(_verified(more, _sets(docs, nodes, lids(more)))).distinct()

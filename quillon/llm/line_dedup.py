@@ -21,11 +21,16 @@ from pyspark.sql import functions as F
 
 from quillon.llm.common import SPACE, cut, text_or_empty
 
-#: Counters of the rarity table; the driver holds this many numbers and no more.
-COUNTERS = 1 << 16
+#: Counters of the rarity table, one byte each; the driver holds this table and no more.
+COUNTERS = 1 << 19
+#: Counters that come to the driver as one row.
+CHUNK = 1 << 7
 #: Buckets up to this size are compared in full at once; in others each member meets the
 #: pivot and so many neighbours, less one.
-SMALL = 8
+SMALL = 4
+#: A token's row has the line's rarest word (12 bits), size and the token's place (26 bits
+#: each, for 67 million distinct words in a line) in one long, in this order.
+FIELD = 26
 
 
 def _words(line: str) -> Column:
@@ -42,13 +47,21 @@ def _slot(h: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """An array of COUNTERS ranks, higher for commoner words, from the counts of all words."""
+    """COUNTERS bytes, each a rank that is higher for commoner words, from the counts of all
+    words of all lines."""
     words = docs.select(F.explode(F.split(text_or_empty(), SPACE)).alias("w")).where("w != ''")
-    counts = words.groupBy(_slot(F.xxhash64("w")).cast("int").alias("slot")).agg(F.count("*").alias("n")).collect()
-    ranks = [0] * COUNTERS
-    for r in counts:
-        ranks[r["slot"]] = min(126, 1 + int(3 * math.log2(r["n"])))
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    counts = words.groupBy(_slot(F.xxhash64("w")).cast("int").alias("slot")).agg(F.count("*").alias("n"))
+    rank = F.least(F.lit(126), 1 + F.floor(3 * F.log2("n"))).cast("int")
+    chunk = F.map_from_entries(F.collect_list(F.struct((F.col("slot") % CHUNK).alias("k"), F.char(rank).alias("v"))))
+    rows = counts.groupBy(F.floor(F.col("slot") / CHUNK).alias("chunk")).agg(chunk.alias("m"))
+    none = F.char(F.lit(1))
+    full = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda i: F.coalesce(F.try_element_at("m", i), none)), "")
+    found = {r["chunk"]: r["ranks"] for r in rows.select("chunk", full.alias("ranks")).collect()}
+    return F.lit("".join(found.get(k, "\x01" * CHUNK) for k in range(COUNTERS // CHUNK)).encode("ascii"))
+
+
+def _rank(ranks: Column, h: Column) -> Column:
+    return F.ascii(F.substring(ranks, (_slot(h) + 1).cast("int"), 1).cast("string")).cast("long")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -71,7 +84,7 @@ def _nodes(docs: DataFrame) -> DataFrame:
     ranks = rarity(docs)
     lines = _lines(docs).select("doc_id", "th", "line_no", F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _words("line").alias("words"))
     # rank of the word's counter above 56 bits of its hash
-    key = lambda w: F.shiftleft(F.get(ranks, _slot(F.xxhash64(w)).cast("int")), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1)))
+    key = lambda w: F.shiftleft(_rank(ranks, F.xxhash64(w)), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1)))
     sets = lines.select("doc_id", "th", "line_no", "l1", "l2", F.sort_array(F.array_distinct(F.transform("words", key))).alias("t")).withColumn("n", F.size("t"))
     parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.transform(F.slice("t", 1, (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1).cast("int")), lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
@@ -109,20 +122,26 @@ def find(docs: DataFrame) -> DataFrame:
     """l1, l2, first of the distinct lines, and `matched`: an earlier other line matches."""
     docs = docs.select("doc_id", "text")
     nodes = _nodes(docs)
-    # the document's id alone tells most later lines from earlier ones; the sets know the rest
-    tokens = nodes.select("lid", F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("d"), "n", "parity", F.get("prefix", F.lit(0)).alias("head"), F.posexplode("prefix").alias("pos", "token"))
-    bucket = Window.partitionBy("token")
-    beside = bucket.orderBy("head", "n", "lid")
-    one = F.struct("lid", "n", "pos", "parity")
     c = F.col
-    met = tokens.withColumn("members", F.count("*").over(bucket)).withColumn("o0", F.first(one).over(beside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    met = met.withColumns({f"o{k}": F.lag(one, k).over(beside) for k in range(1, SMALL)}).where("members > 1")
-    fits = [(c(f"o{k}.lid") != c("lid")) & _may_match(c("n"), c("pos"), c("parity"), c(f"o{k}.n"), c(f"o{k}.pos"), c(f"o{k}.parity")) for k in range(SMALL)]
+    head = F.shiftleft(F.get("prefix", F.lit(0)).bitwiseAND(F.lit(0x7FF)).cast("long"), 2 * FIELD)
+    tokens = nodes.select("lid", "parity", head.bitwiseOR(F.shiftleft(c("n").cast("long"), FIELD)).alias("head"), F.posexplode("prefix").alias("pos", "token"))
+    tokens = tokens.select("token", "lid", c("head").bitwiseOR(c("pos").cast("long")).alias("meta"), "parity")
+    # sorted once; both windows find their order in place, and words of one line end here
+    bucket = Window.partitionBy("token")
+    beside = bucket.orderBy("meta", "lid")
+    one = F.struct("lid", "meta", "parity")
+    met = tokens.repartition("token").sortWithinPartitions("token", "meta", "lid").withColumn("members", F.count("*").over(bucket)).where("members > 1")
+    met = met.withColumn("o0", F.first(one).over(beside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    met = met.withColumns({f"o{k}": F.lag(one, k).over(beside) for k in range(1, SMALL)})
+    size = lambda m: F.shiftright(m, FIELD).bitwiseAND(F.lit((1 << FIELD) - 1))
+    place = lambda m: m.bitwiseAND(F.lit((1 << FIELD) - 1))
+    fit = lambda x, y: _may_match(size(x("meta")), place(x("meta")), x("parity"), size(y("meta")), place(y("meta")), y("parity"))
+    fits = [(c(f"o{k}.lid") != c("lid")) & fit(c, lambda f, k=k: c(f"o{k}.{f}")) for k in range(SMALL)]
     some = fits[0]
     for f in fits[1:]:
         some = F.coalesce(some, F.lit(False)) | F.coalesce(f, F.lit(False))
     others = F.when(some, F.array_distinct(F.array_compact(F.array(*(F.when(f, c(f"o{k}.lid")) for k, f in enumerate(fits))))))
-    large = F.when(c("members") > SMALL, F.struct("token", "d", "n", "pos", "parity"))
+    large = F.when(c("members") > SMALL, F.struct("token", "meta", "parity"))
     met = cut(met.select("lid", others.alias("others"), large.alias("large")).where("others is not null or large is not null"), "buckets")
 
     pairs = met.where("others is not null").select("lid", F.explode("others").alias("other")).select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b"))
@@ -130,12 +149,12 @@ def find(docs: DataFrame) -> DataFrame:
     lids = lambda p: p.select(c("a").alias("lid")).unionByName(p.select(c("b").alias("lid"))).distinct()
     matched = cut(_verified(pairs, _sets(docs, nodes, lids(pairs))), "matched")
 
-    # members of large buckets that their neighbours have not matched meet the earlier ones
+    # members of large buckets that their neighbours have not matched meet the others
     large = met.where("large is not null").select("lid", "large.*")
-    side = lambda rows, k: rows.select(*(c(x).alias(f"{x}{k}") for x in ("token", "lid", "d", "n", "pos", "parity")))
+    side = lambda rows, k: rows.select(*(c(x).alias(f"{x}{k}") for x in ("token", "lid", "meta", "parity")))
     open_ = side(large.join(matched.withColumnRenamed("lid", "done"), c("lid") == c("done"), "left_anti"), 1)
-    fit = (c("token1") == c("token2")) & (c("lid1") != c("lid2")) & (c("d2") <= c("d1")) & _may_match(c("n1"), c("pos1"), c("parity1"), c("n2"), c("pos2"), c("parity2"))
-    more = open_.join(side(large, 2), fit).select(F.greatest("lid1", "lid2").alias("a"), F.least("lid1", "lid2").alias("b")).distinct()
+    meet = (c("token1") == c("token2")) & (c("lid1") != c("lid2")) & fit(lambda f: c(f + "1"), lambda f: c(f + "2"))
+    more = open_.join(side(large, 2), meet).select(F.greatest("lid1", "lid2").alias("a"), F.least("lid1", "lid2").alias("b")).distinct()
     more = cut(more.join(pairs.select(c("a").alias("pa"), c("b").alias("pb")), (c("a") == c("pa")) & (c("b") == c("pb")), "left_anti"), "more")
     if not more.isEmpty():
         matched = matched.unionByName(_verified(more, _sets(docs, nodes, lids(more)))).distinct()

@@ -7,7 +7,7 @@ and the number of rounds grows with the logarithm of the longest chain.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quillon.llm.common import cut
@@ -25,19 +25,28 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
         joined = edges.join(least, F.col("a") == F.col("node"))
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b")))
-    return out.where("a > b").distinct()
+    return out.where("a > b")
+
+
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, with their number and hash, observed while they are written."""
+    seen = Observation()
+    table = cut(edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "edges")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b) that is not its own root; root is the
-    smallest node that can be reached."""
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    edges = cut(edges, "edges")
-    last = None
+    smallest node that can be reached. A round without a change is the last: edges that are
+    stars from the start need only one."""
+    edges, last = _kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b"))
     for _ in range(MAX_ROUNDS):
-        edges = cut(_star(_star(edges, True), False), "edges")
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (now["n"], now["h"]) == last:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        last = (now["n"], now["h"])
-    raise RuntimeError(f"the components did not settle in {MAX_ROUNDS} rounds")
+        if not last[0]:
+            break
+        edges, now = _kept(_star(_star(edges, True), False))
+        if now == last:
+            break
+        last = now
+    else:
+        raise RuntimeError(f"the components did not settle in {MAX_ROUNDS} rounds")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -95,35 +95,37 @@ def _near(x: Column, y: Column, key: Column) -> Column:
     return chains & total
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp) that give the same components
-    as all pairs with at most DISTANCE differing bits. The key with the smallest fingerprint
+def components_of(nodes: DataFrame) -> DataFrame:
+    """(fp, c) of distinct fingerprints (column fp): c is the smallest fingerprint reachable
+    by pairs with at most DISTANCE differing bits. The key with the smallest fingerprint
     of each bucket is a table of its own, so that the joins can split hot keys."""
-    held = nodes.select("fp", F.explode(F.array(*_keys(F.col("fp"), False))).alias("key"))
-    asking = nodes.select("fp", F.explode(F.array(*_keys(F.col("fp"), False), *_keys(F.col("fp"), True))).alias("key"))
+    c = F.col
+    held = nodes.select("fp", F.explode(F.array(*_keys(c("fp"), False))).alias("key"))
+    every = F.explode(F.array(*_keys(c("fp"), False), *_keys(c("fp"), True))).alias("key")
     pivots = cut(held.groupBy("key").agg(F.min("fp").alias("pivot")).withColumnRenamed("key", "pivot_key"), "pivots")
-    near = asking.join(pivots, F.col("key") == F.col("pivot_key")).where((F.col("fp") != F.col("pivot")) & _near(F.col("fp"), F.col("pivot"), F.col("key")))
-    stars = cut(near.select(F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
+    near = nodes.select("fp", every).join(pivots, c("key") == c("pivot_key")).where((c("fp") != c("pivot")) & _near(c("fp"), c("pivot"), c("key")))
+    roots = components(near.select(c("fp").alias("a"), c("pivot").alias("b")))
+    placed = cut(nodes.select("fp").join(roots, c("fp") == c("node"), "left").select("fp", F.coalesce("root", "fp").alias("c")), "placed")
 
-    roots = components(stars)
-    placed = cut(nodes.select("fp").join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("c")), "placed")
-    # keys as they are only: a pair's chain of two is equal, or turned by one bit on one side
-    held = placed.select("fp", "c", F.explode(F.array(*_keys(F.col("fp"), False))).alias("key"))
+    # keys as they are only: a pair's chain of two is equal, or turned by one bit on one side.
+    # A bucket of one has met all that ask it already: it was its own pivot.
+    held = placed.select("fp", "c", F.explode(F.array(*_keys(c("fp"), False))).alias("key"))
     sizes = held.groupBy("key", "c").agg(F.count("*").alias("n"))
-    main = cut(sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("parts")).withColumnRenamed("key", "main_key"), "main")
-    asking = placed.select("fp", "c", F.explode(F.array(*_keys(F.col("fp"), False), *_keys(F.col("fp"), True))).alias("key"))
+    main = sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"))
+    main = cut(main.where("size > 1").drop("size").withColumnRenamed("key", "main_key"), "main")
     # a member of another component than a bucket's main one asks all of the bucket; a member
     # of the main one need ask only the others, which its own part has asked unless it is turned
-    asked = cut(asking.join(main, F.col("key") == F.col("main_key")).where("parts > 1 or c != main").select("key", "fp", "c", "main"), "asked")
+    asked = cut(placed.select("fp", "c", every).join(main, c("key") == c("main_key")).where("parts > 1 or c != main").select("key", "fp", "c", "main"), "asked")
     outside, inside = asked.where("c != main"), asked.where("c = main")
-    keep = held.join(main, F.col("key") == F.col("main_key")).select(F.col("key").alias("k2"), F.col("fp").alias("fp2"), F.col("c").alias("c2"), (F.col("c") != F.col("main")).alias("other"))
+    keep = held.join(main, c("key") == c("main_key")).select(c("key").alias("k2"), c("fp").alias("fp2"), c("c").alias("c2"), (c("c") != c("main")).alias("other"))
 
     def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        met = left.join(right, (F.col("key") == F.col("k2")) & (F.col("c") != F.col("c2")) & _near(F.col("fp"), F.col("fp2"), F.col("key")))
-        return met.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
+        met = left.join(right, (c("key") == c("k2")) & (c("c") != c("c2")) & _near(c("fp"), c("fp2"), c("key")))
+        return met.select(c("c").alias("a"), c("c2").alias("b"))
 
-    rest = pairs(outside, keep).unionByName(pairs(inside, keep.where("other")))
-    return stars.unionByName(rest.distinct())
+    # what is left links whole components, so the second search is over these alone
+    merged = components(pairs(outside, keep).unionByName(pairs(inside, keep.where("other"))))
+    return placed.join(merged, c("c") == c("node"), "left").select("fp", F.coalesce("root", "c").alias("c"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -132,8 +134,8 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     a component of null ids alone has none. Rows that repeat keep their number."""
     known = cut(fingerprints(docs.select("doc_id", text), text), "fingerprints")
     nodes = cut(known.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(links(nodes))
-    placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("c"))
+    placed = components_of(nodes).withColumnRenamed("fp", "placed_fp")
+    placed = nodes.join(placed, F.col("fp") == F.col("placed_fp")).select("fp", "first", "c")
     smallest = placed.groupBy("c").agg(F.min("first").alias("component_id")).withColumnRenamed("c", "c2")
     named = cut(placed.join(smallest, F.col("c") == F.col("c2")).select(F.col("fp").alias("named"), "component_id"), "named")
     return known.join(named, F.col("fp") == F.col("named")).select("doc_id", "fp", "component_id")

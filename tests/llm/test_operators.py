@@ -100,9 +100,7 @@ def test_simhash_links_every_pair_within_the_distance(spark):
                 x ^= 1 << b
     values = sorted(values)
     nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp bigint")
-    from quillon.llm.components import components
-
-    roots = {row["node"]: row["root"] for row in components(simhash.links(nodes)).collect()}
+    roots = {row["fp"]: row["c"] for row in simhash.components_of(nodes).collect()}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     for i, a in enumerate(values):
         for j in range(i):

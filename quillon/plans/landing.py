@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.sources import landed, sinks
+from quillon.sources.shared import shared_path
 from quillon.streaming import reads as st
 
 
@@ -41,7 +42,7 @@ def sampling_plans(spark, d):
 
 def raw_dump_scan(spark, d):
     """Uploads written as JSON by source and scanned again, fields that are null left out."""
-    path = sinks.shared_path(spark, "raw")
+    path = shared_path(spark, "raw")
     docs = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "source", F.col("text").alias("title"), F.nullif("lang", F.lit("de")).alias("description"))
     docs.withColumnRenamed("source", "channel").write.option("ignoreNullFields", True).json(path)
     raw = landed.scan_if_there(spark, path)
@@ -75,7 +76,7 @@ def label_merge(spark, d):
 
 def incremental_store(spark, d):
     """K9: one partition written anew, the others as they were."""
-    path = sinks.shared_path(spark, "store")
+    path = shared_path(spark, "store")
     reads = t(spark, d, "events").select("event_id", "event_type", F.lit("old").alias("state"))
     sinks.write_partitions(reads, path, "event_type")
     sinks.write_partitions(reads.where("event_type = 'click'").withColumn("state", F.lit("new")), path, "event_type")
@@ -106,7 +107,7 @@ def stream_first_seen(spark, d):
 
 def stream_store(spark, d):
     """K9 as a stream."""
-    path = sinks.shared_path(spark, "stream")
+    path = shared_path(spark, "stream")
     st.into_store(_stream(spark, d).select("event_id", "event_type"), path, "event_type", f"{path}-log")
     return spark.read.schema("event_id bigint, event_type string").parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.sources.shared import shared_folder
+
 #: An upload as the listing API describes it.
 RAW = (
     "id string, channel string, title string, description string, publishedAt string, durationSec int, "
@@ -46,6 +48,7 @@ def requests(ids: DataFrame, channel: str, key: str, per: int = PER_REQUEST) ->
     """One row for each request of a channel: number, ids in order. The parts of a channel
     are numbered by range, so no channel has to fit into one task. Ranges are drawn from a
     sample, so they are cut by a checkpoint before they are used twice."""
+    shared_folder(ids.sparkSession)
     ranged = ids.select(channel, key).repartitionByRange(channel, key).withColumn("part", F.spark_partition_id()).checkpoint()
     sized = ranged.groupBy(channel, "part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy(channel).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quillon.sources.sinks import shared_path, write_partitions
+from quillon.sources.shared import shared_path
+from quillon.sources.sinks import write_partitions
 
 #: Later reads than this are dropped and their state is freed.
 DELAY = "1 hour"

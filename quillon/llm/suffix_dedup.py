@@ -83,8 +83,9 @@ class Names:
 def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """Per piece of the text: anchors m, first and last start s, e of the windows that have
     them, the q-gram's name and the name of the whole [m - START + 1, m + LENGTH), cut to the
-    text."""
+    text. An anchor whose windows lie in several pieces comes once, with all of them."""
     n = len(data)
+    open_: tuple[np.ndarray, ...] | None = None
     for at in range(0, max(0, n - LENGTH + 1), PIECE):
         low, high = max(0, at - START), min(n, at + PIECE + 2 * LENGTH)
         part = data[low:high]
@@ -102,7 +103,18 @@ def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         m = chosen[begins]
         left, right = np.maximum(0, m + low - START + 1) - low, np.minimum(n, m + low + LENGTH) - low
         salt = (m - left) * 1024 + (right - m)
-        yield m + low, begins + first + low, ends + first + low, grams[m].view(np.int64), Names(part, 1).of(left, right, salt).view(np.int64)
+        found = (m + low, begins + first + low, ends + first + low, grams[m].view(np.int64), Names(part, 1).of(left, right, salt).view(np.int64))
+        if open_ is not None:
+            if open_[0][0] == found[0][0]:
+                found[1][0] = open_[1][0]
+            else:
+                found = tuple(np.concatenate(x) for x in zip(open_, found, strict=True))
+        # the next piece may go on with the last anchor
+        open_ = tuple(x[-1:] for x in found)
+        if len(found[0]) > 1:
+            yield tuple(x[:-1] for x in found)
+    if open_ is not None:
+        yield open_
 
 
 def _bytes(text: object) -> np.ndarray:

@@ -8,7 +8,9 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute
@@ -70,6 +72,33 @@ def test_suffix_dedup(docs, rows):
     assert any(r[2] for r in got)
 
 
+@pytest.mark.parametrize("piece", [100, 1_000, 4_096])
+def test_suffix_dedup_in_pieces(docs, rows, monkeypatch, piece):
+    """The module goes to the tasks by value, so that they see the small piece."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    cloudpickle.register_pickle_by_value(suffix_dedup)
+    try:
+        got = sorted(tuple(r) for r in suffix_dedup.digest(docs).collect())
+    finally:
+        cloudpickle.unregister_pickle_by_value(suffix_dedup)
+    assert got == sorted(brute.suffix_dedup(rows))
+
+
+def test_anchors_do_not_depend_on_pieces(monkeypatch):
+    text = "".join(random.Random(8).choices("abcdefgh", k=20_000)).encode()
+    data = suffix_dedup._bytes((text + text[:3_000]).decode())
+    whole = [x.tolist() for x in map(np.concatenate, zip(*suffix_dedup.anchors(data)))]
+    for piece in (1, 100, 1_000, 22_600):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        assert [x.tolist() for x in map(np.concatenate, zip(*suffix_dedup.anchors(data)))] == whole
+
+
+def test_suffix_dedup_keeps_a_long_clean_text(spark):
+    text = "".join(random.Random(9).choices("abcdefghijklmnop", k=2 * suffix_dedup.PIECE + 5_000))
+    got = suffix_dedup.digest(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert (got["n_removed"], got["n_spans"], got["kept_sha256"]) == (0, 0, hashlib.sha256(text.encode()).hexdigest())
+
+
 def test_line_dedup(docs, rows):
     got = sorted((r["doc_id"], r["n_lines"], list(r["removed_lines"])) for r in line_dedup.digest(docs).collect())
     assert got == sorted(brute.line_dedup(rows))

@@ -83,8 +83,8 @@ def incremental_store(spark, d):
     return spark.read.schema("event_id bigint, state string, event_type string").parquet(path).groupBy("event_type", "state").agg(F.count("*").alias("n"))
 
 
-def _stream(spark, d):
-    rows = st.stream(spark, f"{d}/events.parquet*", t(spark, d, "events").schema)
+def _stream(spark, d, files=None):
+    rows = st.stream(spark, f"{d}/events.parquet*", t(spark, d, "events").schema, files)
     return rows.withColumn("at", F.col("ts").cast("timestamp"))
 
 
@@ -108,7 +108,7 @@ def stream_first_seen(spark, d):
 def stream_store(spark, d):
     """K9 as a stream."""
     path = shared_path(spark, "stream")
-    st.into_store(_stream(spark, d).select("event_id", "event_type"), path, "event_type", f"{path}-log")
+    st.into_store(_stream(spark, d, 64).select("event_id", "event_type"), path, "event_type", f"{path}-log")
     return spark.read.schema("event_id bigint, event_type string").parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))
 
 

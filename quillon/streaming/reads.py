@@ -1,4 +1,5 @@
-"""The reads as a stream: the same operators with watermarks, in bounded state."""
+"""The reads as a stream: the same operators with watermarks. State is freed behind the
+watermark; a finished table that is drained in one batch keeps that batch's state until its end."""
 
 from __future__ import annotations
 
@@ -13,10 +14,14 @@ from quillon.sources.sinks import write_partitions
 DELAY = "1 hour"
 
 
-def stream(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+def stream(spark: SparkSession, path: str, columns: StructType, files: int | None = None) -> DataFrame:
     """A Parquet table as a stream of its files. path: a folder or a pattern; a single file has
-    to be given as a pattern. columns: those that are read."""
-    return spark.readStream.schema(columns).option("maxFilesPerTrigger", 64).parquet(path)
+    to be given as a pattern. columns: those that are read. files: at most so many in a batch,
+    only where no watermark follows: files come in no order of their times, so after a first
+    batch the watermark would drop most rows of the others. Without it all files that are there
+    make one batch, and the watermark moves only after it."""
+    source = spark.readStream.schema(columns)
+    return (source if files is None else source.option("maxFilesPerTrigger", files)).parquet(path)
 
 
 def windowed(reads: DataFrame, at: str, width: str, *keys: str) -> DataFrame:

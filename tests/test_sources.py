@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from compare import bag, spark_bag
+from conftest import SF
+
+from quillon.plans import landing
 from quillon.sources import landed, sinks
 
 
@@ -64,3 +69,23 @@ def test_upsert_adds_and_keeps(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, p string, q string")
     new = spark.createDataFrame([(2, None, "z"), (3, "c", None)], "id int, p string, q string")
     assert sorted(map(tuple, sinks.upsert(old, new, "id").collect())) == [(1, "a", "x"), (2, "b", "z"), (3, "c", None)]
+
+
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    """Events in 150 files, each of which spans all times."""
+    folder = tmp_path_factory.mktemp("many")
+    spark.read.parquet(f"{SF}/events.parquet").repartition(150, F.xxhash64("event_id")).write.parquet(f"{folder}/events.parquet")
+    assert len(list((folder / "events.parquet").glob("part-*"))) > 128
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["stream_hourly_reads", "stream_bursts", "stream_first_seen", "stream_store"])
+def test_streams_of_many_files_lose_nothing(spark, many_files, name):
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{many_files}/events.parquet/*.parquet')")
+        got = con.execute(landing.SQL[name])
+        columns = [c[0] for c in got.description]
+        want = sorted(columns), bag(got.fetchall(), columns)
+    assert len(want[1]) > 0
+    assert spark_bag(landing.QUERIES[name](spark, many_files)) == want

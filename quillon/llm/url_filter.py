@@ -3,7 +3,10 @@
 Rules of host and path decide first, the longest that fits. Other pages get the verdict of
 their host: trust flows by personalised PageRank from hosts with allowed pages along the
 links, distrust flows from hosts with blocked pages against the links, and a host is blocked
-where its share of all distrust exceeds its share of all trust.
+where its share of all distrust exceeds its share of all trust. The ranks are sums over walks
+of every length from the seeds; rounds add the next length until no host's rank still grows
+by more than TOLERANCE of itself, so that hosts far from every seed, whose shares are small,
+are judged on settled shares too.
 """
 
 from __future__ import annotations
@@ -21,7 +24,9 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-DAMPING, ROUNDS = 0.85, 8
+DAMPING = 0.85
+#: Growth of a rank in two rounds, as a part of it, that counts as none. There is no limit on rounds.
+TOLERANCE = 1e-6
 #: So many rules become one CASE expression; larger lists need a join on the host's suffixes.
 MAX_RULES = 500
 
@@ -55,7 +60,7 @@ def links(pages: DataFrame) -> DataFrame:
     return targets.select("src", dst.alias("dst")).where("src != '' and dst != ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) of every host of a page: shares that sum to one over all hosts."""
     judged = pages.select("page_host", rule_of(F.col("page_host"), F.col("page_path"), rules, 2).alias("v"))
     seeds = judged.groupBy("page_host").agg(F.sum((F.col("v") == "allow").cast("long")).alias("good"), F.sum((F.col("v") == "block").cast("long")).alias("bad"))
@@ -74,18 +79,25 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rou
     backward = weighted.select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("n") / F.col("n_in")).alias("d"))
     steps = cut(forward.unionByName(backward).groupBy("from", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")), "steps")
 
-    now = start.select("host", "t0", "d0", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
+    # walks of no step; each round adds those of one step more, so no rank ever falls
+    now = start.select("host", *(((1 - DAMPING) * F.col(c)).alias(c) for c in ("t0", "d0")))
+    now = now.select("*", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
     if steps.isEmpty():
-        return now.select("host", "trust", "distrust")
-    for k in range(rounds):
-        moved = steps.join(now, F.col("from") == F.col("host")).groupBy("to").agg(F.sum(F.col("trust") * F.col("t")).alias("mt"), F.sum(F.col("distrust") * F.col("d")).alias("md"))
-        now = now.join(moved, F.col("host") == F.col("to"), "left").select(
-            "host", "t0", "d0",
-            ((1 - DAMPING) * F.col("t0") + DAMPING * F.coalesce("mt", F.lit(0.0))).alias("trust"),
-            ((1 - DAMPING) * F.col("d0") + DAMPING * F.coalesce("md", F.lit(0.0))).alias("distrust"),
-        )
-        if k % 2 == 1:
-            now = cut(now, "ranks")
+        return start.select("host", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
+    grows = lambda c: F.col(c) - F.col(f"{c}_old") > F.lit(tolerance) * F.col(c)
+    growing = True
+    while growing:
+        old = now
+        for _ in range(2):
+            moved = steps.join(now, F.col("from") == F.col("host")).groupBy("to").agg(F.sum(F.col("trust") * F.col("t")).alias("mt"), F.sum(F.col("distrust") * F.col("d")).alias("md"))
+            now = now.join(moved, F.col("host") == F.col("to"), "left").select(
+                "host", "t0", "d0",
+                (F.col("t0") + DAMPING * F.coalesce("mt", F.lit(0.0))).alias("trust"),
+                (F.col("d0") + DAMPING * F.coalesce("md", F.lit(0.0))).alias("distrust"),
+            )
+        now = cut(now, "ranks")
+        before = old.select(F.col("host").alias("h_old"), F.col("trust").alias("trust_old"), F.col("distrust").alias("distrust_old"))
+        growing = not now.join(before, F.col("host") == F.col("h_old")).where(grows("trust") | grows("distrust")).isEmpty()
     total = now.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
     return now.select("host", (F.col("trust") / F.lit(total["t"] or 1.0)).alias("trust"), (F.col("distrust") / F.lit(total["d"] or 1.0)).alias("distrust"))
 

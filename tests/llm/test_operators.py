@@ -177,6 +177,35 @@ def test_url_rules(pages):
     assert url_filter.judge(pages).count() == len(PAGES)
 
 
+def test_url_chains_of_any_length(spark):
+    """Hosts up to 41 links before a blocked one; and a ring whose allowed and blocked seeds'
+    shares, from a dense solution, decide between its hosts."""
+    n = 41
+    chain = [(k, f"http://h{k}.chain/", f"<a href='http://h{k + 1}.chain/'>") for k in range(n)] + [(n, f"http://h{n}.chain/", "<a href='http://end.net/fr/'>"), (n + 1, "http://end.net/fr/", "")]
+    ring = [(100 + k, f"http://r{k}.ring{'.com' if k == 0 else ''}/", f"<a href='http://r{(k + 1) % 17}.ring{'.com' if k == 16 else ''}/'>" + ("<a href='http://end.net/fr/'>" if k == 11 else "")) for k in range(17)]
+    edges = {}
+    host = lambda u: u.split("/")[2]
+    for _, url, html in chain + ring:
+        for link in html.split("'")[1::2]:
+            edges[host(url), host(link)] = 1.0
+    hosts = sorted({host(u) for _, u, _ in chain + ring})
+    at = {h: k for k, h in enumerate(hosts)}
+    w = np.zeros((len(hosts), len(hosts)))
+    for (a, b), x in edges.items():
+        w[at[a], at[b]] = x
+    share = lambda m: m / np.where(m.sum(1, keepdims=True) == 0, 1, m.sum(1, keepdims=True))
+    seed = lambda h: np.eye(len(hosts))[at[h]]
+    rank = lambda m, s: np.linalg.solve(np.eye(len(hosts)) - 0.85 * share(m).T, 0.15 * s)
+    trust, distrust = rank(w, seed("r0.ring.com")), rank(w.T, seed("end.net"))
+    trust, distrust = trust / trust.sum(), distrust / distrust.sum()
+    pages = spark.createDataFrame(chain + ring, "page_id bigint, url string, html string")
+    got = {r["host"]: r for r in url_filter.judge(pages).collect()}
+    for h in hosts:
+        assert got[h]["trust"] == pytest.approx(trust[at[h]], rel=1e-4) and got[h]["distrust"] == pytest.approx(distrust[at[h]], rel=1e-4)
+    assert all(got[f"h{k}.chain"]["verdict"] == "block" for k in range(n + 1))
+    assert {got[f"r{k}.ring"]["verdict"] for k in range(1, 17)} == {"allow", "block"}
+
+
 def test_warc_round_trip(pages):
     got = sorted(warc.round_trip(pages).collect())
     payload = {p[0]: (p[2] or "").encode() for p in PAGES}

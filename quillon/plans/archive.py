@@ -208,13 +208,28 @@ def fk_violations(spark, d):
 
 
 def dupe_signature_pairs(spark, d):
-    """Documents of one first line and about one length from other sources."""
+    """Documents of one first line and about one length from other sources; the kept
+    source is the first by name. dupe_token_set_pairs looks at whole texts."""
     docs = t(spark, d, "documents").select("doc_id", "source", "n_chars", F.substring_index("text", "\n", 1).alias("sig"))
     w = Window.partitionBy("sig").orderBy("n_chars", "doc_id")
     near = docs.withColumn("prev_id", F.lag("doc_id").over(w)).withColumn("delta", F.col("n_chars") - F.lag("n_chars").over(w)).withColumn("prev_source", F.lag("source").over(w))
     return near.where("delta <= 1 and source != prev_source").select("doc_id", "prev_id", "delta", F.least("source", "prev_source").alias("kept_source"))
 
 
+def dupe_token_set_pairs(spark, d, precedence=("src2", "src0", "src1"), least=2):
+    """Neighbours in length among documents of one set of words, from other
+    sources. Documents without length or with fewer than least words are not keyable. Sources
+    in precedence go before the others (place 99); of two alike the shorter one is kept."""
+    words = F.array_sort(F.array_distinct(F.filter(F.split("text", "[ \\t-\\r]+"), lambda x: x != "")))
+    docs = t(spark, d, "documents").select("doc_id", "source", "n_chars", words.alias("words")).where((F.col("n_chars") > 0) & (F.size("words") >= least))
+    places = spark.createDataFrame([(s, k) for k, s in enumerate(precedence)], "source string, place int")
+    docs = docs.select("doc_id", "source", "n_chars", F.sha2(F.array_join("words", " "), 256).alias("sig")).join(F.broadcast(places), "source", "left").withColumn("place", F.coalesce("place", F.lit(99)))
+    w = Window.partitionBy("sig").orderBy("n_chars", "doc_id")
+    near = docs.select("*", F.lag(F.struct("doc_id", "source", "n_chars", "place")).over(w).alias("prev")).where((F.col("n_chars") - F.col("prev.n_chars") <= 1) & ~F.col("source").eqNullSafe(F.col("prev.source")))
+    first = F.col("prev.place") <= F.col("place")
+    return near.select("doc_id", F.col("prev.doc_id").alias("prev_id"), (F.col("n_chars") - F.col("prev.n_chars")).alias("delta"), F.when(first, F.col("prev.doc_id")).otherwise(F.col("doc_id")).alias("kept_id"), F.when(first, F.col("prev.source")).otherwise(F.col("source")).alias("kept_source"))
+
+
 def expiry_due(spark, d, as_of="2001-07-01"):
     """W20 W21 G15"""
     o = orders(spark, d).where("o_orderstatus = 'O'")
@@ -297,4 +312,4 @@ SQL = {
     "entity_filter": f"SELECT CAST({_SEASON} AS BIGINT) AS season, count(*) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand IN ('Brand#1', 'Brand#12')) GROUP BY 1",
 }
 
-QUERIES = {name: globals()[name] for name in SQL}
+QUERIES = {name: globals()[name] for name in [*SQL, "dupe_token_set_pairs"]}

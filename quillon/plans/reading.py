@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillon.functions.vectorized import osa
+from quillon.functions.vectorized import osa, osa_distance
 from quillon.operators import hashing as hs
 from quillon.operators import measure as ms
 from quillon.operators import reads as rd
@@ -62,25 +62,25 @@ def attribution_votes(spark, d):
 
 
 def ensemble_resolve(spark, d):
-    """A22 W8"""
+    """A22"""
     r = reads(spark, d).withColumn("day", F.floor(F.col("sec") / 1440))
     return rd.ensemble(r, ["user_id", "day"], "id", "dist", "value")
 
 
 def zero_read_groups(spark, d):
-    """A56 A59 A61"""
+    """Groups with few hits (a part of A56: no median verdict)."""
     r = reads(spark, d).groupBy("user_id").agg(F.count("*").alias("reads"), F.count_if(F.col("id") == "purchase").alias("hits"), F.min(F.when(F.col("id") == "signup", F.col("sec"))).alias("first_signup"))
     return r.where("hits < 10").select("user_id", "reads", "hits", "first_signup")
 
 
 def luma_rank(spark, d):
-    """W7 W11"""
+    """W7"""
     best = reads(spark, d).where("id is not null").groupBy("user_id", "id").agg(F.max("value").alias("top"))
     return best.select("user_id", "id", F.rank().over(Window.partitionBy("user_id").orderBy(F.desc("top"))).cast("long").alias("place"))
 
 
 def far_apart_pair(spark, d):
-    """W13 W14 WL4"""
+    """First and last read (a part of W14: no least gap)."""
     return reads(spark, d).groupBy("user_id").agg(F.min("sec").alias("first"), F.max("sec").alias("second"))
 
 
@@ -156,7 +156,7 @@ def majority_hash(spark, d):
 
 
 def nearest_template(spark, d):
-    """J13 A39 A40 F10 W19"""
+    """J13 F10"""
     h = hashes(spark, d)
     near = hs.nearest(h, "hash", hs.majority(h, ["label"], "hash"))
     return near.groupBy("label").agg(F.count_if(F.col("label") == F.col("near_label")).alias("right"), F.sum("dist").alias("dist"), F.sum("margin").alias("margin"))
@@ -169,19 +169,33 @@ def hamming_neighbours(spark, d):
 
 
 def leader_clusters(spark, d):
-    """A26 W9 W10"""
+    """A26"""
     return hs.leaders(hashes(spark, d), ["label"], "vec_id", "hash", 24).groupBy("label").agg(F.count_distinct("leader").alias("groups"), F.count("*").alias("n"))
 
 
+def decoded(seen: DataFrame, keys: list[str], lead: int = 3, trail: int = 4) -> DataFrame:
+    """seen (distinct names) with key, dist and margin: each key is judged by the best of the
+    name's end trims, the nearest key wins, margin is the runner-up's distance less its own. A
+    distance beyond the key's radius or a quarter of the trim's length leaves all three null, as
+    does a name under three characters. margin is null too where there is one key only."""
+    nearest = {k: min((osa_distance(k, o) for o in keys if o != k), default=2 * len(k) + 1) for k in keys}
+    listed = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(max(0, (n - 1) // 2)).alias("radius")) for k, n in nearest.items()))
+    size = F.char_length("seen")
+    trim = lambda i, j: F.trim(F.substring(F.col("seen"), F.lit(i + 1), F.greatest(F.lit(0), size - i - j)))
+    trims = F.array_distinct(F.filter(F.array(*(trim(i, j) for i in range(lead + 1) for j in range(trail + 1))), lambda x: F.char_length(x) >= 3))
+    tried = seen.select("seen", F.posexplode(trims).alias("at", "trim")).select("*", F.inline(listed)).withColumn("dist", osa("trim", "key").cast("long"))
+    best = tried.groupBy("seen", "key", "radius").agg(F.min(F.struct("dist", "at", F.char_length("trim").alias("len"))).alias("b"))
+    ranked = best.groupBy("seen").agg(F.array_sort(F.collect_list(F.struct("b.dist", "key", "radius", "b.len"))).alias("r")).withColumns({"top": F.get("r", F.lit(0)), "next": F.get("r", F.lit(1))})
+    within = ranked.where(F.col("top.dist") <= F.least(F.col("top.radius"), F.greatest(F.lit(1), F.floor(F.col("top.len") / 4 + 0.5))))
+    return seen.join(within.select("seen", "top.key", "top.dist", (F.col("next.dist") - F.col("top.dist")).alias("margin")), "seen", "left")
+
+
 def osa_fuzzy_match(spark, d):
-    """Distinct corrupted names, each matched to the keys of a fixed list."""
+    """Distinct corrupted names, each matched to the keys of a fixed list or to none."""
     keys = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     p = t(spark, d, "part")
     bad = F.when(F.col("p_size") % 3 == 0, F.concat(F.substring("p_type", 2, 1), F.substring("p_type", 1, 1), F.expr("substring(p_type, 3)"))).when(F.col("p_size") % 3 == 1, F.concat(F.lit("J"), F.col("p_type"))).otherwise(F.col("p_type"))
-    seen = p.groupBy(tx.plate(bad).alias("seen")).agg(F.count("*").alias("n"))
-    tried = seen.withColumn("key", F.explode(F.array(*map(F.lit, keys)))).withColumn("dist", osa("seen", "key"))
-    best = tried.groupBy("seen", "n").agg(F.min(F.struct("dist", "key")).alias("b"))
-    return best.select("seen", "n", F.col("b.key").alias("key"), F.col("b.dist").cast("long").alias("dist"))
+    return decoded(p.groupBy(tx.plate(bad).alias("seen")).agg(F.count("*").alias("n")), keys)
 
 
 SQL = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillon.plans import archive
+from quillon.plans import archive, reading
 
 
 def test_token_set_pairs(spark, tmp_path):
@@ -17,3 +17,22 @@ def test_token_set_pairs(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, source string, text string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(tuple(r) for r in archive.dupe_token_set_pairs(spark, str(tmp_path)).collect())
     assert got == [(2, 1, 1, 2, "src1"), (7, 6, 1, 6, "src0"), (14, 13, 0, 13, "src8"), (15, 14, 1, 14, "src7")]
+
+
+def test_names_are_decoded_from_their_trims(spark):
+    keys = ["HULK", "MAGIK", "LOKI", "WOLVERINE"]
+    names = ["HULK", "JLOKI", "MAGIKY", "WOLVERINEN", "- MAGIK TB", "WLOVERINE", "HU", "SOMETHING ELSE", "LOXX"]
+    seen = spark.createDataFrame([(x,) for x in names], "seen string")
+    got = {r["seen"]: (r["key"], r["dist"], r["margin"]) for r in reading.decoded(seen, keys).collect()}
+
+    def plain(text):
+        if len(text) < 3:
+            return None, None, None
+        trims = list(dict.fromkeys(x for i in range(4) for j in range(5) if len(x := text[i : max(i, len(text) - j)].strip()) >= 3))
+        scored = sorted((*min((reading.osa_distance(x, k), n) for n, x in enumerate(trims)), k) for k in keys)
+        (d, n, k), second = min(scored, key=lambda s: (s[0], s[2])), sorted(s[0] for s in scored)[1]
+        radius = (min(reading.osa_distance(k, o) for o in keys if o != k) - 1) // 2
+        return (k, d, second - d) if d <= min(radius, max(1, int(len(trims[n]) / 4 + 0.5))) else (None, None, None)
+
+    assert got == {x: plain(x) for x in names}
+    assert [got[x][0] for x in names] == ["HULK", "LOKI", "MAGIK", "WOLVERINE", "MAGIK", "WOLVERINE", None, None, None]

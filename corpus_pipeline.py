@@ -12,11 +12,11 @@ from quillon.llm.common import cut, fold, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language is found: without text, without a letter or with
-    nothing in common with any language learned."""
+    """Drops documents in which no language is found: without text, without a letter or
+    long and unlike any language learned."""
     own = docs.columns
     model = language_id.learn(docs.where(~F.coalesce(fold(parts=4) == 2, F.lit(False))))
-    return language_id.predict(docs, model).where("lang_pred != 'und' and score > 0").select(*(F.col(f"`{c}`") for c in own))
+    return language_id.predict(docs, model).where(language_id.known()).select(*(F.col(f"`{c}`") for c in own))
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.common import fold
@@ -27,6 +27,9 @@ PIECE = 1_000_000
 DIRECT = 160
 #: More languages than this are refused: the prototypes travel through the driver.
 MAX_LANGUAGES = 2_000
+#: Cosines of unrelated vectors deviate from 0 by 1 / sqrt(DIMENSIONS): a text of so many letters
+#: below four such deviations is in no language learned. Shorter texts may be as low by chance.
+LETTERS, LEAST = 200, 4 / DIMENSIONS**0.5
 
 _letters: np.ndarray | None = None
 
@@ -53,12 +56,11 @@ def letter_vectors(points: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarr
 
 def _trigram_counts(texts: list[str], owners: list[int], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Counts (n x trigrams) and the bound vectors (trigrams x dimensions) of the texts."""
-    raw = "\0".join(texts).lower()
-    points = _letter_table()[np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-    ends = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 0
-    # lower() may change a text's length, but a text's own NUL is no letter and parts nothing but trigrams
-    piece = np.cumsum(ends)
-    keep = (points != 0) | (np.concatenate(([1], points[:-1])) != 0)
+    raw = np.frombuffer("\0".join(texts).lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    points, piece = _letter_table()[raw], np.cumsum(raw == 0)
+    # NUL only parts the pieces; of neighbours that are no letters the first stays, in its own piece
+    points, piece = points[raw != 0], piece[raw != 0]
+    keep = (points != 0) | (np.concatenate(([1], points[:-1])) != 0) | (np.diff(piece, prepend=-1) != 0)
     points, piece = points[keep], piece[keep]
     if len(points) < 3:
         return np.zeros((n, 0), np.float32), np.zeros((0, DIMENSIONS), np.float32)
@@ -88,11 +90,12 @@ def _trigram_counts(texts: list[str], owners: list[int], n: int) -> tuple[np.nda
 
 
 def _batches(texts: list[str | None], rows: int = 128, chars: int = PIECE) -> Iterator[tuple[int, int, list[str], list[int]]]:
-    """(first row, one past the last, pieces, each piece's row from the first on): a batch
-    has no more than so many rows and pieces of so many characters, but for one long text."""
+    """(first row, one past the last, pieces, each piece's row from the first on): every text has
+    a boundary of its own at both ends, whatever its neighbours; a batch has no more than so
+    many rows and pieces of so many characters, but for one long text."""
     start, pieces, owners, total = 0, [], [], 0
     for i, text in enumerate(texts):
-        text = (text or "").replace("\0", " ")
+        text = " " + (text or "").replace("\0", " ") + " "
         if i > start and (i - start >= rows or total + len(text) > chars):
             yield start, i, pieces, owners
             start, pieces, owners, total = i, [], [], 0
@@ -140,8 +143,8 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
     """docs with lang_pred and score, the cosine cut to 0..1. Rows without text, without a
-    letter or without any learned language get `und` and 0; texts too short for a trigram
-    but with a letter get the first language in order and 0. Ties go to the first in order."""
+    letter or without any learned language get `und` and 0; any other text has a trigram, if
+    only of its ends and a letter. Ties go to the first in order."""
     langs, prototypes = model
     names = [f.name for f in docs.schema if f.name not in ("lang_pred", "score")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names), "lang_pred string", "score double"])
@@ -167,6 +170,12 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     return docs.select(*(F.col(f"`{n}`") for n in names)).mapInPandas(run, schema)
 
 
+def known(text: str = "text") -> Column:
+    """Whether a row of predict is in a language learned, as far as its length lets it be told."""
+    short = F.coalesce(F.regexp_count(text, F.lit("\\p{L}")), F.lit(0)) < LETTERS
+    return (F.col("lang_pred") != "und") & (short | (F.col("score") >= LEAST))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; learns from the documents that
     are not held out (crc32 of the id as text, modulo 4, is 2; a null id is not held out)."""

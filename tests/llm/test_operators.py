@@ -17,6 +17,7 @@ import brute
 from compare import duck_bag, spark_bag
 from conftest import SF
 
+import corpus_pipeline
 from quillon.llm import decontaminate, language_id, line_dedup, mixing, quality, queries, simhash, suffix_dedup, toxicity, url_filter, warc
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp bigint, score double, items string"
@@ -150,6 +151,27 @@ def test_language_of_nothing(docs):
     assert got[7][0] == "xx" and 0 <= got[7][1] <= 1
 
 
+def test_bundles_do_not_depend_on_neighbours():
+    r = random.Random(4)
+    texts = ["", "a", "ab", "ab.", "  ab c", "\0x\0", None, "12 #", "ΑΣ", "Σ", *("".join(r.choices("abc é.\0", k=r.randint(1, 40))) for _ in range(200))]
+    alone = np.array([language_id.bundles([t])[0] for t in texts])
+    assert (language_id.bundles(texts) == alone).all() and (language_id.bundles(texts[::-1])[::-1] == alone).all()
+    assert [bool(v.any()) for v in alone[:10]] == [False, True, True, True, True, True, False, False, True, True]
+    assert (alone[2] == alone[3]).all()  # a final sign is the boundary that is there anyway
+
+
+def test_language_stage_keeps_short_texts_and_drops_long_noise(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 500").limit(200)
+    r = random.Random(6)
+    odd = ["a", "ok", "Q", "xj", "7 z", "", None, "12 + 3", "".join(chr(0x0E01 + r.randrange(46)) for _ in range(3_000)), "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=3_000))]
+    rows = spark.createDataFrame([(10**9 + k, t, None) for k, t in enumerate(odd)], "doc_id bigint, text string, lang string")
+    both = docs.select("doc_id", "text", "lang").unionByName(rows)
+    for parts in (1, 7):
+        got = {x["doc_id"] for x in corpus_pipeline.known_language(spark, both.repartition(parts), SF).collect()}
+        assert {x - 10**9 for x in got if x >= 10**9} == {0, 1, 2, 3, 4}
+        assert len(got) == 205
+
+
 PAGES = [
     (1, "http://WWW.Example.com/en/x?q#f", "p"), (2, "https://a.example.com/en/", "p"), (3, "http://example.com/fr", ""), (4, "http://b.net/es/1", None),
     (5, "http://b.net/de", "<a href='http://good.org/x'>"), (6, None, "p"), (7, "no scheme", "p"), (8, "x://net/fr/", "p"), (8, "x://net/fr/", "p"), (9, "http://good.org", ""),

@@ -61,17 +61,20 @@ def targets(sized: DataFrame) -> DataFrame:
 def schedule(goals: DataFrame) -> DataFrame:
     """source_key, rank, slot: the slots in which the mix takes blocks 0, 1, .. of each source."""
     spark = goals.sparkSession
-    total = goals.agg(F.sum("words").alias("words"), F.sum("target").alias("target")).first()
+    total = goals.agg(F.sum("words").alias("words"), F.sum("target").alias("target"), F.count_if(F.col("words") > 0).alias("sources")).first()
     n = -(-(total["words"] or 0) // BLOCK)
     slots = spark.range(n).select(F.col("id").alias("slot"), ((F.col("id") % MODULUS) * STEP % MODULUS / F.lit(float(MODULUS)) * F.lit(float(total["target"] or 0))).alias("point"))
-    # the sources' stretches lie side by side, so each point falls in one; a condition on a
-    # range of a small table (one row for each source), not a join of rows with each other
-    stretch = goals.where("words > 0").select("source_key", "low", (F.col("low") + F.col("target")).alias("high"), "words")
-    bounds = stretch.agg(F.array_sort(F.collect_list(F.struct("low", "source_key"))).alias("all"))
-    edges = [r for r in bounds.first()["all"] or []]
-    keys = F.array(*(F.lit(r["source_key"]) for r in edges)) if edges else F.array().cast("array<string>")
-    index = _stretch_of([r["low"] for r in edges])
-    placed = slots.select("slot", F.get(keys, index).alias("source_key")).withColumn("chunk", F.floor(F.col("slot") / CHUNK))
+    # the sources' stretches lie side by side, so each point falls in one: both are dealt to as
+    # many buckets of equal width as there are sources, so that stretches meet two each, about
+    stretch = goals.where("words > 0").select("source_key", "low", "words")
+    width = F.lit(float(total["target"] or 1) / max(1, total["sources"]))
+    # what is too small for a word leaves a gap, which goes to the stretch before
+    order = Window.orderBy("low", "source_key")
+    edges = stretch.select("source_key", F.when(F.lag("low").over(order).isNull(), F.lit(0.0)).otherwise(F.col("low")).alias("from"), F.coalesce(F.lead("low").over(order), F.lit(float("inf"))).alias("to"))
+    last = F.floor(F.least("to", F.lit(float(total["target"] or 0))) / width)
+    edges = edges.select("source_key", "from", "to", F.explode(F.sequence(F.floor(F.col("from") / width), last)).alias("bucket"))
+    dealt = slots.withColumn("at", F.floor(F.col("point") / width)).join(edges, (F.col("at") == F.col("bucket")) & (F.col("from") <= F.col("point")) & (F.col("point") < F.col("to")))
+    placed = cut(dealt.select("slot", "source_key", F.floor(F.col("slot") / CHUNK).alias("chunk")), "placed")
     counts = placed.groupBy("source_key", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("source_key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("source_key", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
@@ -84,18 +87,6 @@ def schedule(goals: DataFrame) -> DataFrame:
     return ranked.join(wanted, "source_key").where("rank < needed").select("source_key", "rank", "slot").unionByName(rest)
 
 
-def _stretch_of(lows: list[float]):
-    """Number of the stretch that holds `point`, by halving: log2(sources) comparisons."""
-
-    def half(a: int, b: int):
-        if b - a <= 1:
-            return F.lit(a)
-        mid = (a + b) // 2
-        return F.when(F.col("point") < F.lit(lows[mid]), half(a, mid)).otherwise(half(mid, b))
-
-    return half(0, len(lows))
-
-
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken and first_slot (null if nothing is taken) of
     every document; needs columns doc_id, text and source. Null and empty texts have no words

@@ -269,6 +269,15 @@ def test_mix(docs, rows):
     assert sorted(map(tuple, mixing.mix(docs.repartition(3)).collect())) == sorted(map(tuple, got))
 
 
+def test_mix_of_many_sources(spark):
+    """As many sources as would be one expression of as many branches."""
+    n = 20_000
+    goals = spark.range(n).selectExpr("lpad(id, 6, '0') as source_key", "300D as target", "300D * id as low", "300L as words")
+    got = mixing.schedule(goals)
+    assert got.groupBy("source_key").count().where("count = 2").count() == n
+    assert got.count() == 2 * n
+
+
 def test_toxicity(spark):
     got = queries.op7_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
     right = sum(r["predicted"] == r["toxic"] for r in got)

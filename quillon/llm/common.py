@@ -18,11 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where
-    nothing is set (local tests) a temporary folder of this machine takes its place."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session
+    where nothing is set (tests) gets a temporary folder of this machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillon-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quillon-"))
     return sc.getCheckpointDir()
 
 
@@ -35,6 +38,35 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_cuts(*tables: DataFrame) -> None:
+    """Deletes tables of cut() of which no plan that is still to run reads."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Slots of a table of bits, one byte each; the driver holds this table and no more.
+BITS = 1 << 20
+
+
+def bits_of(rows: DataFrame, h: Column) -> Column:
+    """BITS bytes, "1" at the slots of the hashes of all rows. Rows without their bit are
+    none of these; others may be."""
+    slot = h.bitwiseAND(F.lit(BITS - 1)) + 1
+    parts = rows.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    table = bytearray(b"0" * BITS)
+    for part, bits in parts.collect():
+        digits = format(int.from_bytes(bits, "little"), f"0{8 * len(bits)}b")[::-1]
+        table[(part - 1) * len(digits) : part * len(digits)] = digits.encode()
+    return F.lit(bytes(table))
+
+
+def has_bit(bits: Column, h: Column) -> Column:
+    return F.substring(bits, (h.bitwiseAND(F.lit(BITS - 1)) + 1).cast("int"), 1) == F.lit(b"1")
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only, unlike lower()."""
     return F.translate(c, UPPER, LOWER)

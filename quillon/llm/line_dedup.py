@@ -6,66 +6,74 @@ prefixes. Pairs that meet in a prefix token pass the length, positional and bitm
 before their sets are compared. A line goes if an earlier line (by document id, text hash
 and line number) has the same set or one of Jaccard 0.8 or more, be that one kept or not.
 
-Equal lines are one node from the start. The members of a token's bucket are first compared
-with a pivot and their neighbours in an order that puts variants side by side; only those
-that stay unmatched meet the rest of a large bucket, so a group of n variants costs about n
-comparisons, and no match is lost.
+Equal lines are one node from the start. Groups of variants are found first: in the buckets
+of its rarest tokens, cut by size band, each line meets the first member and its neighbour
+in an order that puts variants side by side. Then only lines that are not matched yet probe
+all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
+variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
+
+A null or empty text is one line without words; such lines are never removed. Very long
+texts are ordinary rows: a line is one array of words, and nothing else grows with it. Rows
+that repeat id and text lose the same lines. An empty table gives an empty table. Columns of
+any name besides doc_id and text are carried.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.common import SPACE, cut, text_or_empty
+from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, text_or_empty
 
 #: Counters of the rarity table, one byte each; the driver holds this table and no more.
 COUNTERS = 1 << 19
 #: Counters that come to the driver as one row.
-CHUNK = 1 << 7
-#: Buckets up to this size are compared in full at once; in others each member meets the
-#: pivot and so many neighbours, less one.
-SMALL = 4
-#: A token's row has the line's rarest word (12 bits), size and the token's place (26 bits
-#: each, for 67 million distinct words in a line) in one long, in this order.
+CHUNK = 1 << 12
+#: Rarest tokens of a line in whose buckets variants are looked for first.
+LEADING = 2
+#: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
+#: distinct words in a line) in one long, in this order.
 FIELD = 26
+MASK = (1 << FIELD) - 1
 
 
-def _words(line: str) -> Column:
-    """Words of a line that has one: without white space at the ends, no piece is empty."""
-    return F.split(F.btrim(F.col(line), F.lit(" \t\n\x0b\f\r")), SPACE)
+def _pieces(text: str, ends: str = " ") -> Column:
+    """Words of a text, cut at single spaces; rarer white space becomes one first. There may
+    be empty pieces. ends: white space of its own kind that the text may hold."""
+    odd = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\f")) | F.contains(text, F.lit("\r"))
+    plain = F.col(text) if ends == " " else F.replace(text, F.lit(ends), F.lit(" "))
+    return F.split(F.when(odd, F.translate(text, "\t\n\x0b\f\r", "     ")).otherwise(plain), " ")
 
 
 def _hashes(line: str) -> Column:
-    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+    """Hashes of the distinct words; that of the empty pieces goes."""
+    return F.array_remove(F.array_distinct(F.transform(_pieces(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _slot(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(COUNTERS - 1))
+    return h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
 
 
 def rarity(docs: DataFrame) -> Column:
     """COUNTERS bytes, each a rank that is higher for commoner words, from the counts of all
     words of all lines."""
-    words = docs.select(F.explode(F.split(text_or_empty(), SPACE)).alias("w")).where("w != ''")
-    counts = words.groupBy(_slot(F.xxhash64("w")).cast("int").alias("slot")).agg(F.count("*").alias("n"))
+    words = docs.select(text_or_empty().alias("text")).select(F.explode(_pieces("text", "\n")).alias("w")).where("w != ''")
+    counts = words.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count("*").alias("n"))
     rank = F.least(F.lit(126), 1 + F.floor(3 * F.log2("n"))).cast("int")
-    chunk = F.map_from_entries(F.collect_list(F.struct((F.col("slot") % CHUNK).alias("k"), F.char(rank).alias("v"))))
-    rows = counts.groupBy(F.floor(F.col("slot") / CHUNK).alias("chunk")).agg(chunk.alias("m"))
-    none = F.char(F.lit(1))
-    full = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda i: F.coalesce(F.try_element_at("m", i), none)), "")
-    found = {r["chunk"]: r["ranks"] for r in rows.select("chunk", full.alias("ranks")).collect()}
-    return F.lit("".join(found.get(k, "\x01" * CHUNK) for k in range(COUNTERS // CHUNK)).encode("ascii"))
+    rows = counts.groupBy(F.floor(F.col("slot") / CHUNK).alias("chunk")).agg(F.collect_list((F.col("slot") % CHUNK) * 128 + rank).alias("ranks"))
+    table = bytearray(b"\x01" * COUNTERS)
+    for chunk, ranks in rows.collect():
+        for x in ranks:
+            table[chunk * CHUNK + (x >> 7)] = x & 127
+    return F.lit(bytes(table))
 
 
 def _rank(ranks: Column, h: Column) -> Column:
-    return F.ascii(F.substring(ranks, (_slot(h) + 1).cast("int"), 1).cast("string")).cast("long")
+    return F.ascii(F.substring(ranks, _slot(h) + 1, 1).cast("string")).cast("long")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), line_no from 0, line; one row for each line."""
+    """doc_id, th (hash of the text), line_no from 0, line; one row for each line with a word."""
     return docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(text_or_empty(), "\n")).alias("line_no", "line")).where(F.col("line").rlike("[^ \\t-\\r]"))
 
 
@@ -80,86 +88,98 @@ def _needed(n: Column) -> Column:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """Distinct lines: lid, l1, l2 (hashes), first (place), n, parity, prefix."""
+    """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, prefix."""
     ranks = rarity(docs)
-    lines = _lines(docs).select("doc_id", "th", "line_no", F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _words("line").alias("words"))
+    c = F.col
+    lines = _lines(docs).select(_place().alias("first"), F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _hashes("line").alias("h"))
     # rank of the word's counter above 56 bits of its hash
-    key = lambda w: F.shiftleft(_rank(ranks, F.xxhash64(w)), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1)))
-    sets = lines.select("doc_id", "th", "line_no", "l1", "l2", F.sort_array(F.array_distinct(F.transform("words", key))).alias("t")).withColumn("n", F.size("t"))
-    parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63)).cast("int"))))
-    prefix = F.transform(F.slice("t", 1, (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1).cast("int")), lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    rows = sets.select("l1", "l2", _place().alias("first"), "n", parity.alias("parity"), prefix.alias("prefix"))
-    merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    key = lambda h: F.shiftleft(_rank(ranks, h), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    sets = lines.select("first", "l1", "l2", F.sort_array(F.transform("h", key)).alias("t"), F.size("h").alias("n"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63)).cast("int"))
+    parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
+    prefix = F.transform(F.slice("t", 1, (c("n") - F.floor((4 * c("n") + 4) / 5) + 1).cast("int")), lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    rows = sets.select("l1", "l2", "first", "n", parity.alias("parity"), prefix.alias("prefix"))
+    merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
     return cut(merged.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
 
-def _may_match(n1: Column, p1: Column, b1: Column, n2: Column, p2: Column, b2: Column) -> Column:
+def _size(meta: Column) -> Column:
+    return F.shiftright(meta, FIELD).bitwiseAND(F.lit(MASK))
+
+
+def _fit(m1: Column, b1: Column, m2: Column, b2: Column) -> Column:
     """Length, positional and bitmap filters."""
+    n1, n2, p1, p2 = _size(m1), _size(m2), m1.bitwiseAND(F.lit(MASK)), m2.bitwiseAND(F.lit(MASK))
     need = _needed(n1 + n2)
     return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (F.least(n1 - p1, n2 - p2) >= need) & (F.bit_count(b1.bitwiseXOR(b2)) <= n1 + n2 - 2 * need)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, lids: DataFrame) -> DataFrame:
-    """lid, first, h (the words' hashes) of the lines named in lids, read from their texts."""
-    wanted = nodes.join(lids.withColumnRenamed("lid", "wanted"), F.col("lid") == F.col("wanted"), "left_semi")
-    by = cut(wanted.groupBy(F.col("first.doc_id").alias("d"), F.col("first.th").alias("t")).agg(F.collect_list(F.struct("lid", "first")).alias("of")), "wanted")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    found = texts.join(by, (F.col("th") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))).select(F.split("text", "\n").alias("lines"), "of")
-    each = found.select("lines", F.explode("of").alias("one")).select("one.lid", "one.first", F.element_at("lines", F.col("one.first.line_no") + 1).alias("line"))
-    return each.select("lid", "first", _hashes("line").alias("h"))
+def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
+    """token, lid, meta, parity: a row for each token of the prefix."""
+    meta = F.shiftleft(open_.cast("long"), 2 * FIELD).bitwiseOR(F.shiftleft(F.col("n").cast("long"), FIELD))
+    rows = nodes.select("lid", "parity", meta.alias("head"), F.posexplode(prefix).alias("pos", "token"))
+    return rows.select("token", "lid", F.col("head").bitwiseOR(F.col("pos").cast("long")).alias("meta"), "parity")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The lid of each pair's later line, where the sets' Jaccard is 0.8 or more."""
-    one = sets.select(F.col("lid").alias("a"), F.col("first").alias("fa"), F.col("h").alias("ha"))
-    two = sets.select(F.col("lid").alias("b"), F.col("first").alias("fb"), F.col("h").alias("hb"))
+def _variants(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a line with the first and the next line of its size band in a bucket."""
+    c = F.col
+    tokens = _tokens(nodes, F.lit(1), F.slice("prefix", 1, LEADING)).withColumn("band", F.floor(F.log(_size(c("meta"))) / F.log(F.lit(1.25))).cast("int"))
+    beside = Window.partitionBy("token", "band").orderBy("meta", "parity", "lid")
+    met = tokens.select("lid", "meta", "parity", *(F.lag(x).over(beside).alias(f"{x}1") for x in ("lid", "meta", "parity")), *(F.first(x).over(beside).alias(f"{x}0") for x in ("lid", "meta", "parity")))
+    met = met.where("lid1 is not null")
+    fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), c(f"lid{k}"))
+    pairs = met.select("lid", F.explode(F.array(fit(0), fit(1))).alias("other")).where("other is not null")
+    return pairs.select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b")).distinct()
+
+
+def _probed(nodes: DataFrame, matched: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a prefix token and pass the filters, one of them not matched."""
+    flags = nodes.join(matched.withColumnRenamed("lid", "done"), F.col("lid") == F.col("done"), "left")
+    tokens = _tokens(flags, F.col("done").isNull(), F.col("prefix"))
+    x, y = (lambda f: F.col(f"x.{f}")), (lambda f: F.col(f"y.{f}"))
+    is_open = lambda s: s("meta") >= F.lit(1 << 2 * FIELD)
+    # one expression over both sides, so that these stay one exchange
+    meets = F.when(is_open(x) & is_open(y), x("lid") < y("lid")).otherwise(is_open(x) & (x("lid") != y("lid")))
+    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(x("meta"), x("parity"), y("meta"), y("parity")))
+    return both.select(F.greatest("x.lid", "y.lid").alias("a"), F.least("x.lid", "y.lid").alias("b")).distinct()
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The lid of each pair's later line, where the sets' Jaccard is 0.8 or more. The sets are
+    read again from the texts; a fixed table of bits keeps most other lines from the join."""
+    c = F.col
+    lids = pairs.select(c("a").alias("wanted")).unionByName(pairs.select(c("b").alias("wanted"))).distinct()
+    wanted = cut(nodes.join(lids, c("lid") == c("wanted"), "left_semi").select("lid", "first"), "wanted")
+    at = lambda p: F.xxhash64(c(f"{p}doc_id"), c(f"{p}th"), c(f"{p}line_no"))
+    seen = bits_of(wanted, at("first."))
+    lines = _lines(docs).where(has_bit(seen, at("")))
+    same = c("doc_id").eqNullSafe(c("first.doc_id")) & (c("th") == c("first.th")) & (c("line_no") == c("first.line_no"))
+    sets = lines.join(wanted, same).select("lid", "first", _hashes("line").alias("h"))
+    one = sets.select(c("lid").alias("a"), c("first").alias("fa"), c("h").alias("ha"))
+    two = sets.select(c("lid").alias("b"), c("first").alias("fb"), c("h").alias("hb"))
     both = pairs.join(one, "a").join(two, "b")
     both = both.where(9 * F.size(F.array_intersect("ha", "hb")) >= 4 * (F.size("ha") + F.size("hb")))
-    return both.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("lid")).distinct()
+    out = cut(both.select(F.when(c("fa") > c("fb"), c("a")).otherwise(c("b")).alias("lid")).distinct(), "matched")
+    drop_cuts(wanted)
+    return out
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """l1, l2, first of the distinct lines, and `matched`: an earlier other line matches."""
+    """l1, l2, first of the distinct lines that are repeated or have an earlier match, and
+    `matched`: the latter."""
     docs = docs.select("doc_id", "text")
     nodes = _nodes(docs)
-    c = F.col
-    head = F.shiftleft(F.get("prefix", F.lit(0)).bitwiseAND(F.lit(0x7FF)).cast("long"), 2 * FIELD)
-    tokens = nodes.select("lid", "parity", head.bitwiseOR(F.shiftleft(c("n").cast("long"), FIELD)).alias("head"), F.posexplode("prefix").alias("pos", "token"))
-    tokens = tokens.select("token", "lid", c("head").bitwiseOR(c("pos").cast("long")).alias("meta"), "parity")
-    # sorted once; both windows find their order in place, and words of one line end here
-    bucket = Window.partitionBy("token")
-    beside = bucket.orderBy("meta", "lid")
-    one = F.struct("lid", "meta", "parity")
-    met = tokens.repartition("token").sortWithinPartitions("token", "meta", "lid").withColumn("members", F.count("*").over(bucket)).where("members > 1")
-    met = met.withColumn("o0", F.first(one).over(beside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    met = met.withColumns({f"o{k}": F.lag(one, k).over(beside) for k in range(1, SMALL)})
-    size = lambda m: F.shiftright(m, FIELD).bitwiseAND(F.lit((1 << FIELD) - 1))
-    place = lambda m: m.bitwiseAND(F.lit((1 << FIELD) - 1))
-    fit = lambda x, y: _may_match(size(x("meta")), place(x("meta")), x("parity"), size(y("meta")), place(y("meta")), y("parity"))
-    fits = [(c(f"o{k}.lid") != c("lid")) & fit(c, lambda f, k=k: c(f"o{k}.{f}")) for k in range(SMALL)]
-    some = fits[0]
-    for f in fits[1:]:
-        some = F.coalesce(some, F.lit(False)) | F.coalesce(f, F.lit(False))
-    others = F.when(some, F.array_distinct(F.array_compact(F.array(*(F.when(f, c(f"o{k}.lid")) for k, f in enumerate(fits))))))
-    large = F.when(c("members") > SMALL, F.struct("token", "meta", "parity"))
-    met = cut(met.select("lid", others.alias("others"), large.alias("large")).where("others is not null or large is not null"), "buckets")
-
-    pairs = met.where("others is not null").select("lid", F.explode("others").alias("other")).select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b"))
-    pairs = cut(pairs.distinct(), "pairs")
-    lids = lambda p: p.select(c("a").alias("lid")).unionByName(p.select(c("b").alias("lid"))).distinct()
-    matched = cut(_verified(pairs, _sets(docs, nodes, lids(pairs))), "matched")
-
-    # members of large buckets that their neighbours have not matched meet the others
-    large = met.where("large is not null").select("lid", "large.*")
-    side = lambda rows, k: rows.select(*(c(x).alias(f"{x}{k}") for x in ("token", "lid", "meta", "parity")))
-    open_ = side(large.join(matched.withColumnRenamed("lid", "done"), c("lid") == c("done"), "left_anti"), 1)
-    meet = (c("token1") == c("token2")) & (c("lid1") != c("lid2")) & fit(lambda f: c(f + "1"), lambda f: c(f + "2"))
-    more = open_.join(side(large, 2), meet).select(F.greatest("lid1", "lid2").alias("a"), F.least("lid1", "lid2").alias("b")).distinct()
-    more = cut(more.join(pairs.select(c("a").alias("pa"), c("b").alias("pb")), (c("a") == c("pa")) & (c("b") == c("pb")), "left_anti"), "more")
-    if not more.isEmpty():
-        matched = matched.unionByName(_verified(more, _sets(docs, nodes, lids(more)))).distinct()
-    flags = matched.select(c("lid").alias("hit"))
-    return cut(nodes.select("lid", "l1", "l2", "first").join(flags, c("lid") == c("hit"), "left").select("l1", "l2", "first", c("hit").isNotNull().alias("matched")), "found")
+    near = cut(_variants(nodes), "near")
+    matched = _verified(docs, nodes, near)
+    pairs = cut(_probed(nodes, matched), "pairs")
+    more = _verified(docs, nodes, pairs)
+    drop_cuts(near, pairs)
+    hits = matched.unionByName(more).select(F.col("lid").alias("hit")).distinct()
+    found = nodes.select("lid", "l1", "l2", "first", "copies").join(hits, F.col("lid") == F.col("hit"), "left").where("hit is not null or copies > 1")
+    found = cut(found.select("l1", "l2", "first", F.col("hit").isNotNull().alias("matched")), "found")
+    drop_cuts(nodes, matched, more)
+    return found
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -172,9 +192,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return gone.select("place.doc_id", "place.th", "place.line_no").groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 
+def _changed(docs: DataFrame) -> DataFrame:
+    """row (all of the document) and removed, null where the text stays as it is."""
+    gone = removed_lines(docs).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "removed")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, (F.xxhash64("row.text") == F.col("t")) & F.col("row.doc_id").eqNullSafe(F.col("d")), "left").select("row", "removed")
+
+
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_removed and removed_lines (numbers from 0) of every document. A null
-    or empty text is one line without words; such lines are never removed."""
+    """doc_id, n_lines, n_removed and removed_lines (numbers from 0) of every document."""
     gone = removed_lines(docs).withColumnsRenamed({"doc_id": "d", "th": "t"})
     short = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"), F.size(F.split(text_or_empty(), "\n")).cast("long").alias("n_lines"))
     both = short.join(gone, (F.col("th") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
@@ -185,11 +211,10 @@ def digest(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """docs with the removed lines cut out of text, and n_chars, if there, counted anew. Texts
     that lose no line stay as they are; a text that loses all becomes empty."""
-    gone = removed_lines(docs).withColumnsRenamed({"doc_id": "_d", "th": "_t"})
-    both = docs.join(gone, (F.xxhash64("text") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
-    kept = F.array_join(F.transform(F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("removed", s["i"])), lambda s: s["x"]), "\n")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
-    out = both.withColumn("text", text)
+    parts = F.transform(F.split("row.text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    kept = F.array_join(F.transform(F.filter(parts, lambda s: ~F.array_contains("removed", s["i"])), lambda s: s["x"]), "\n")
+    both = _changed(docs).select("row", F.when(F.col("removed").isNotNull(), kept).alias("kept"))
+    row = F.col("row").withField("text", F.coalesce("kept", "row.text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return out.select(*(F.col(f"`{x}`") for x in docs.columns))
+        row = row.withField("n_chars", F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.char_length("kept").cast(docs.schema["n_chars"].dataType)))
+    return both.select(row.alias("row")).select("row.*")

@@ -3,12 +3,13 @@
 A line is the set of its words. Tokens are ordered by rarity (word counts over all lines, in
 a table of fixed size by hash), and two lines of Jaccard 0.8 or more share a token of their
 prefixes. Pairs that meet in a prefix token pass the length, positional and bitmap filters
-before their sets are compared. A line goes if an earlier line (by document id, text hash
+before their sets are compared; prefixes are one token longer than one common token asks
+for, so that a pair has to meet twice. A line goes if an earlier line (by document id, text hash
 and line number) has the same set or one of Jaccard 0.8 or more, be that one kept or not.
 
-Equal lines are one node from the start. Groups of variants are found first: in the buckets
-of its rarest tokens, cut by size band, each line meets the first member and its neighbour
-in an order that puts variants side by side. Then only lines that are not matched yet probe
+Equal lines are one node from the start. Groups of variants are found first: among the lines
+that share the least or the largest hash of the rarer half of their words, in a band of
+sizes, each meets a few earlier ones. Then only lines that are not matched yet probe
 all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
 variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
 
@@ -29,8 +30,10 @@ from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, text_or_empty
 COUNTERS = 1 << 19
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
-#: Rarest tokens of a line in whose buckets variants are looked for first.
-LEADING = 2
+#: Lines before a line that it is compared with when variants are looked for.
+NEIGHBOURS = 2
+#: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
+SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
 #: distinct words in a line) in one long, in this order.
 FIELD = 26
@@ -72,9 +75,15 @@ def _rank(ranks: Column, h: Column) -> Column:
     return F.ascii(F.substring(ranks, _slot(h) + 1, 1).cast("string")).cast("long")
 
 
+def _split(docs: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), line_no from 0, line; one row for each line."""
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("th"), text_or_empty().alias("text"))
+    return hashed.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), line_no from 0, line; one row for each line with a word."""
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(text_or_empty(), "\n")).alias("line_no", "line")).where(F.col("line").rlike("[^ \\t-\\r]"))
+    """The lines with a word."""
+    return _split(docs).where(F.col("line").rlike("[^ \\t-\\r]"))
 
 
 def _place() -> Column:
@@ -88,7 +97,8 @@ def _needed(n: Column) -> Column:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, prefix."""
+    """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, prefix, common
+    (mean rank of the prefix), ends (least and largest hash among the rarer half of the words)."""
     ranks = rarity(docs)
     c = F.col
     lines = _lines(docs).select(_place().alias("first"), F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _hashes("line").alias("h"))
@@ -97,9 +107,15 @@ def _nodes(docs: DataFrame) -> DataFrame:
     sets = lines.select("first", "l1", "l2", F.sort_array(F.transform("h", key)).alias("t"), F.size("h").alias("n"))
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
-    prefix = F.transform(F.slice("t", 1, (c("n") - F.floor((4 * c("n") + 4) / 5) + 1).cast("int")), lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    rows = sets.select("l1", "l2", "first", "n", parity.alias("parity"), prefix.alias("prefix"))
-    merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    first = F.slice("t", 1, (c("n") - F.floor((4 * c("n") + 4) / 5) + SHARED).cast("int"))
+    common = F.aggregate(first, F.lit(0).cast("bigint"), lambda a, t: a + F.shiftright(t, 56)) * 64 / F.size(first)
+    prefix = F.transform(first, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    # the rarer half of the words, so that no bucket is one of common words
+    half = F.transform(F.slice("t", 1, F.ceil(c("n") / 2).cast("int")), lambda t: t.bitwiseAND(F.lit((1 << 56) - 1)))
+    rows = sets.select("l1", "l2", "first", "n", parity.alias("parity"), prefix.alias("prefix"), common.cast("int").alias("common"), half.alias("half"))
+    ends = F.array_distinct(F.transform(F.array(F.array_min("half"), F.array_max("half")), lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+    rows = rows.withColumn("ends", ends).drop("half")
+    merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("n", "parity", "prefix", "common", "ends")))
     return cut(merged.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
 
@@ -107,11 +123,12 @@ def _size(meta: Column) -> Column:
     return F.shiftright(meta, FIELD).bitwiseAND(F.lit(MASK))
 
 
-def _fit(m1: Column, b1: Column, m2: Column, b2: Column) -> Column:
-    """Length, positional and bitmap filters."""
-    n1, n2, p1, p2 = _size(m1), _size(m2), m1.bitwiseAND(F.lit(MASK)), m2.bitwiseAND(F.lit(MASK))
+def _fit(places: Column, m1: Column, b1: Column, m2: Column, b2: Column) -> Column:
+    """Length, positional (for the first SHARED common tokens, where places is MASK) and
+    bitmap filters."""
+    n1, n2, p1, p2 = _size(m1), _size(m2), m1.bitwiseAND(places), m2.bitwiseAND(places)
     need = _needed(n1 + n2)
-    return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (F.least(n1 - p1, n2 - p2) >= need) & (F.bit_count(b1.bitwiseXOR(b2)) <= n1 + n2 - 2 * need)
+    return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (F.least(n1 - p1, n2 - p2) > need - SHARED) & (F.bit_count(b1.bitwiseXOR(b2)) <= n1 + n2 - 2 * need)
 
 
 def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
@@ -122,27 +139,34 @@ def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a line with the first and the next line of its size band in a bucket."""
+    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end: the
+    NEIGHBOURS just before it and the one without rare words of its own, for what a group of
+    variants has in common is most of such a line."""
     c = F.col
-    tokens = _tokens(nodes, F.lit(1), F.slice("prefix", 1, LEADING)).withColumn("band", F.floor(F.log(_size(c("meta"))) / F.log(F.lit(1.25))).cast("int"))
-    beside = Window.partitionBy("token", "band").orderBy("meta", "parity", "lid")
-    met = tokens.select("lid", "meta", "parity", *(F.lag(x).over(beside).alias(f"{x}1") for x in ("lid", "meta", "parity")), *(F.first(x).over(beside).alias(f"{x}0") for x in ("lid", "meta", "parity")))
-    met = met.where("lid1 is not null")
-    fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), c(f"lid{k}"))
-    pairs = met.select("lid", F.explode(F.array(fit(0), fit(1))).alias("other")).where("other is not null")
+    band = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
+    tokens = nodes.select("lid", F.shiftleft(c("n").cast("long"), FIELD).alias("meta"), "parity", "common", "first", band.alias("band"), F.explode("ends").alias("token"))
+    before = Window.partitionBy("token", "band").orderBy("first", "lid")
+    fields = ("lid", "meta", "parity")
+    best = F.max(F.struct("common", *fields)).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields)).where("lid1 is not null")
+    met = met.select("*", *(c(f"best.{x}").alias(f"{x}0") for x in fields))
+    fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(F.lit(0), c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), c(f"lid{k}"))
+    pairs = met.select("lid", F.explode(F.array(*(fit(k) for k in range(NEIGHBOURS + 1)))).alias("other")).where("other is not null")
     return pairs.select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b")).distinct()
 
 
 def _probed(nodes: DataFrame, matched: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a prefix token and pass the filters, one of them not matched."""
+    """Pairs (a, b) that share SHARED prefix tokens and pass the filters, one of them not matched."""
     flags = nodes.join(matched.withColumnRenamed("lid", "done"), F.col("lid") == F.col("done"), "left")
     tokens = _tokens(flags, F.col("done").isNull(), F.col("prefix"))
     x, y = (lambda f: F.col(f"x.{f}")), (lambda f: F.col(f"y.{f}"))
     is_open = lambda s: s("meta") >= F.lit(1 << 2 * FIELD)
     # one expression over both sides, so that these stay one exchange
     meets = F.when(is_open(x) & is_open(y), x("lid") < y("lid")).otherwise(is_open(x) & (x("lid") != y("lid")))
-    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(x("meta"), x("parity"), y("meta"), y("parity")))
-    return both.select(F.greatest("x.lid", "y.lid").alias("a"), F.least("x.lid", "y.lid").alias("b")).distinct()
+    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(F.lit(MASK), x("meta"), x("parity"), y("meta"), y("parity")))
+    # two lines of one word each have no more to share
+    shared = F.sum(F.when(_size(x("meta")) < SHARED, SHARED).otherwise(1))
+    return both.groupBy(F.greatest("x.lid", "y.lid").alias("a"), F.least("x.lid", "y.lid").alias("b")).agg(shared.alias("k")).where(F.col("k") >= SHARED).select("a", "b")
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -153,7 +177,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = cut(nodes.join(lids, c("lid") == c("wanted"), "left_semi").select("lid", "first"), "wanted")
     at = lambda p: F.xxhash64(c(f"{p}doc_id"), c(f"{p}th"), c(f"{p}line_no"))
     seen = bits_of(wanted, at("first."))
-    lines = _lines(docs).where(has_bit(seen, at("")))
+    lines = _split(docs).where(has_bit(seen, at("")))
     same = c("doc_id").eqNullSafe(c("first.doc_id")) & (c("th") == c("first.th")) & (c("line_no") == c("first.line_no"))
     sets = lines.join(wanted, same).select("lid", "first", _hashes("line").alias("h"))
     one = sets.select(c("lid").alias("a"), c("first").alias("fa"), c("h").alias("ha"))

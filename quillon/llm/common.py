@@ -47,24 +47,26 @@ def drop_cuts(*tables: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Slots of a table of bits, one byte each; the driver holds this table and no more.
-BITS = 1 << 20
+#: Slots of a table of bits, six in a byte; the driver holds this table and no more.
+BITS, IN_BYTE = 1 << 20, 6
 
 
 def bits_of(rows: DataFrame, h: Column) -> Column:
-    """BITS bytes, "1" at the slots of the hashes of all rows. Rows without their bit are
-    none of these; others may be."""
+    """A table with a bit set at the slots of the hashes of all rows, for has_bit(). Hashes
+    without their bit are none of these; others may be. Bytes are ASCII: 64 and the bits."""
     slot = h.bitwiseAND(F.lit(BITS - 1)) + 1
     parts = rows.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    table = bytearray(b"0" * BITS)
+    whole = 0
     for part, bits in parts.collect():
-        digits = format(int.from_bytes(bits, "little"), f"0{8 * len(bits)}b")[::-1]
-        table[(part - 1) * len(digits) : part * len(digits)] = digits.encode()
-    return F.lit(bytes(table))
+        whole |= int.from_bytes(bits, "little") << 8 * len(bits) * (part - 1)
+    digits = format(whole, f"0{BITS}b")[::-1]
+    return F.lit(bytes(64 + int(digits[i : i + IN_BYTE][::-1], 2) for i in range(0, BITS, IN_BYTE)))
 
 
 def has_bit(bits: Column, h: Column) -> Column:
-    return F.substring(bits, (h.bitwiseAND(F.lit(BITS - 1)) + 1).cast("int"), 1) == F.lit(b"1")
+    slot = h.bitwiseAND(F.lit(BITS - 1)).cast("int")
+    byte = F.ascii(F.substring(bits, F.floor(slot / IN_BYTE).cast("int") + 1, 1).cast("string"))
+    return F.call_function("shiftright", byte, slot % IN_BYTE).bitwiseAND(F.lit(1)) == 1
 
 
 def ascii_lower(c: Column) -> Column:

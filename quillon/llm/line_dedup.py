@@ -9,7 +9,7 @@ and line number) has the same set or one of Jaccard 0.8 or more, be that one kep
 
 Equal lines are one node from the start. Groups of variants are found first: among the lines
 that share the least or the largest hash of the rarer half of their words, in a band of
-sizes, each meets a few earlier ones. Then only lines that are not matched yet probe
+sizes, each meets a few earlier ones if there are many. Then only lines that are not matched yet probe
 all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
 variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
 
@@ -30,8 +30,9 @@ from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, text_or_empty
 COUNTERS = 1 << 19
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
-#: Lines before a line that it is compared with when variants are looked for.
-NEIGHBOURS = 2
+#: Lines before a line that it is compared with when variants are looked for, and how many
+#: there are at least; the groups that this leaves are small.
+NEIGHBOURS, HOT = 2, 16
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
@@ -98,17 +99,17 @@ def _needed(n: Column) -> Column:
 
 def _nodes(docs: DataFrame) -> DataFrame:
     """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, prefix, common
-    (mean rank of the prefix), ends (least and largest hash among the rarer half of the words)."""
+    (ranks of the rarest words), ends (least and largest hash among the rarer half of the words)."""
     ranks = rarity(docs)
     c = F.col
     lines = _lines(docs).select(_place().alias("first"), F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _hashes("line").alias("h"))
     # rank of the word's counter above 56 bits of its hash
     key = lambda h: F.shiftleft(_rank(ranks, h), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
     sets = lines.select("first", "l1", "l2", F.sort_array(F.transform("h", key)).alias("t"), F.size("h").alias("n"))
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(t, 16).bitwiseAND(F.lit(63)).cast("int"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
     first = F.slice("t", 1, (c("n") - F.floor((4 * c("n") + 4) / 5) + SHARED).cast("int"))
-    common = F.aggregate(first, F.lit(0).cast("bigint"), lambda a, t: a + F.shiftright(t, 56)) * 64 / F.size(first)
+    common = sum((F.coalesce(F.shiftright(F.get("t", F.lit(k)), 56), F.lit(0)) for k in range(3)), F.lit(0))
     prefix = F.transform(first, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     # the rarer half of the words, so that no bucket is one of common words
     half = F.transform(F.slice("t", 1, F.ceil(c("n") / 2).cast("int")), lambda t: t.bitwiseAND(F.lit((1 << 56) - 1)))
@@ -139,16 +140,16 @@ def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end: the
-    NEIGHBOURS just before it and the one without rare words of its own, for what a group of
-    variants has in common is most of such a line."""
+    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end, if they
+    are HOT or more: the NEIGHBOURS just before it and the one with the commonest words, for
+    what a group of variants has in common is most of such a line."""
     c = F.col
     band = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
     tokens = nodes.select("lid", F.shiftleft(c("n").cast("long"), FIELD).alias("meta"), "parity", "common", "first", band.alias("band"), F.explode("ends").alias("token"))
     before = Window.partitionBy("token", "band").orderBy("first", "lid")
     fields = ("lid", "meta", "parity")
     best = F.max(F.struct("common", *fields)).over(before.rowsBetween(Window.unboundedPreceding, -1))
-    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields)).where("lid1 is not null")
+    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields), F.lag("lid", HOT).over(before).alias("many")).where("many is not null")
     met = met.select("*", *(c(f"best.{x}").alias(f"{x}0") for x in fields))
     fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(F.lit(0), c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), c(f"lid{k}"))
     pairs = met.select("lid", F.explode(F.array(*(fit(k) for k in range(NEIGHBOURS + 1)))).alias("other")).where("other is not null")
@@ -211,7 +212,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lose a line. th is the hash of the text, so rows that repeat an id keep apart unless
     they repeat the text too; such rows are the same lines and lose the same ones."""
     found = find(docs).withColumnsRenamed({"l1": "f1", "l2": "f2"})
-    lines = _lines(docs.select("doc_id", "text")).select(_place().alias("place"), F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"))
+    lines = _split(docs.select("doc_id", "text")).withColumn("l1", F.xxhash64("line")).where(has_bit(bits_of(found, F.col("f1")), F.col("l1")))
+    lines = lines.select(_place().alias("place"), "l1", F.hash("line").alias("l2"))
     gone = lines.join(found, (F.col("l1") == F.col("f1")) & (F.col("l2") == F.col("f2"))).where(F.col("matched") | (F.col("place") > F.col("first")))
     return gone.select("place.doc_id", "place.th", "place.line_no").groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 

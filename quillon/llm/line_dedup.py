@@ -9,7 +9,7 @@ and line number) has the same set or one of Jaccard 0.8 or more, be that one kep
 
 Equal lines are one node from the start. Groups of variants are found first: among the lines
 that share the least or the largest hash of the rarer half of their words, in a band of
-sizes, each meets a few earlier ones if there are many. Then only lines that are not matched yet probe
+sizes, each meets a few earlier ones. Then only lines that are not matched yet probe
 all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
 variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
 
@@ -30,9 +30,8 @@ from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, text_or_empty
 COUNTERS = 1 << 19
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
-#: Lines before a line that it is compared with when variants are looked for, and how many
-#: there are at least; the groups that this leaves are small.
-NEIGHBOURS, HOT = 2, 16
+#: Lines before a line that it is compared with when variants are looked for.
+NEIGHBOURS = 2
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
@@ -140,19 +139,20 @@ def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end, if they
-    are HOT or more: the NEIGHBOURS just before it and the one with the commonest words, for
-    what a group of variants has in common is most of such a line."""
+    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end: the
+    NEIGHBOURS just before it and the one with the commonest words, for what a group of
+    variants has in common is most of such a line."""
     c = F.col
     band = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
     tokens = nodes.select("lid", F.shiftleft(c("n").cast("long"), FIELD).alias("meta"), "parity", "common", "first", band.alias("band"), F.explode("ends").alias("token"))
     before = Window.partitionBy("token", "band").orderBy("first", "lid")
     fields = ("lid", "meta", "parity")
     best = F.max(F.struct("common", *fields)).over(before.rowsBetween(Window.unboundedPreceding, -1))
-    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields), F.lag("lid", HOT).over(before).alias("many")).where("many is not null")
+    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields)).where("lid1 is not null")
     met = met.select("*", *(c(f"best.{x}").alias(f"{x}0") for x in fields))
     fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(F.lit(0), c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), c(f"lid{k}"))
-    pairs = met.select("lid", F.explode(F.array(*(fit(k) for k in range(NEIGHBOURS + 1)))).alias("other")).where("other is not null")
+    others = F.array_distinct(F.array_compact(F.array(*(fit(k) for k in range(NEIGHBOURS + 1)))))
+    pairs = met.select("lid", others.alias("others")).where("size(others) > 0").select("lid", F.explode("others").alias("other"))
     return pairs.select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b")).distinct()
 
 

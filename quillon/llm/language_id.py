@@ -21,7 +21,7 @@ from quillon.llm.common import fold
 
 DIMENSIONS = 512
 #: Characters that are turned into trigrams at once; longer texts are taken in pieces
-#: of this length, and no trigram spans two pieces.
+#: of this length, each with what the trigrams over its start need of the one before.
 PIECE = 1_000_000
 #: Largest alphabet of a batch whose trigrams are counted in a direct table.
 DIRECT = 160
@@ -89,6 +89,23 @@ def _trigram_counts(texts: list[str], owners: list[int], n: int) -> tuple[np.nda
     return counts, bound.astype(np.float32)
 
 
+def _pieces(text: str, chars: int) -> Iterator[str]:
+    """A text in pieces with the same trigrams, each once: a piece begins with the last two
+    points (a letter, or a run of others) before it."""
+    if len(text) <= chars:
+        yield text
+        return
+    text = text.lower()  # as a whole, for a final sigma is one by what follows
+    begin = 0
+    for end in range(chars, len(text) + chars, chars):
+        end = min(end, len(text))
+        yield text[begin:end]
+        begin = end - 1
+        while begin > 0 and not text[begin].isalpha() and not text[begin - 1].isalpha():
+            begin -= 1
+        begin = max(0, begin - 1)
+
+
 def _batches(texts: list[str | None], rows: int = 128, chars: int = PIECE) -> Iterator[tuple[int, int, list[str], list[int]]]:
     """(first row, one past the last, pieces, each piece's row from the first on): every text has
     a boundary of its own at both ends, whatever its neighbours; a batch has no more than so
@@ -99,8 +116,8 @@ def _batches(texts: list[str | None], rows: int = 128, chars: int = PIECE) -> It
         if i > start and (i - start >= rows or total + len(text) > chars):
             yield start, i, pieces, owners
             start, pieces, owners, total = i, [], [], 0
-        for at in range(0, max(1, len(text)), chars):
-            pieces.append(text[at : at + chars])
+        for piece in _pieces(text, chars):
+            pieces.append(piece)
             owners.append(i - start)
         total += len(text)
     if start < len(texts):

@@ -148,6 +148,5 @@ def digest(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component with its own columns: that of the smallest id. Rows that
     repeat the smallest id, and rows without an id in a component without one, stay."""
-    own = docs.columns
     found = near_duplicates(docs).where("doc_id is null or doc_id = component_id").where("doc_id is not null or component_id is null").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*(F.col(f"`{c}`") for c in own))
+    return docs.select(F.struct("*").alias("row")).join(found, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")

@@ -319,4 +319,5 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return dedup(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    """The contract's row for each document, and has_removed: whether it loses a byte."""
+    return dedup(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", (F.col("n_removed") > 0).alias("has_removed"))

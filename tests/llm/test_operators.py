@@ -73,13 +73,18 @@ def test_suffix_dedup(docs, rows):
     assert any(r[2] for r in got)
 
 
+def test_suffix_dedup_tells_who_lost_bytes(docs):
+    got = suffix_dedup.digest(docs.where("length(coalesce(text, '')) < 20000")).collect()
+    assert all(r["has_removed"] == (r["n_removed"] > 0) for r in got) and any(r["has_removed"] for r in got)
+
+
 @pytest.mark.parametrize("piece", [100, 1_000, 4_096])
 def test_suffix_dedup_in_pieces(docs, rows, monkeypatch, piece):
     """The module goes to the tasks by value, so that they see the small piece."""
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
     cloudpickle.register_pickle_by_value(suffix_dedup)
     try:
-        got = sorted(tuple(r) for r in suffix_dedup.digest(docs).collect())
+        got = sorted(tuple(r)[:5] for r in suffix_dedup.digest(docs).collect())
     finally:
         cloudpickle.unregister_pickle_by_value(suffix_dedup)
     assert got == sorted(brute.suffix_dedup(rows))
@@ -160,6 +165,30 @@ def test_bundles_do_not_depend_on_neighbours():
     assert (alone[2] == alone[3]).all()  # a final sign is the boundary that is there anyway
 
 
+@pytest.mark.parametrize("chars", [2, 3, 5, 17, 40])
+def test_bundles_do_not_depend_on_pieces(monkeypatch, chars):
+    r = random.Random(chars)
+    texts = ["".join(r.choices("abΣé  .,1\0", k=r.randint(1, 150))) for _ in range(80)] + ["Σ" * 50, "." * 50, "aΣ. " * 30]
+    whole = language_id.bundles(texts)
+    monkeypatch.setattr(language_id, "_batches", lambda t, f=language_id._batches: f(t, chars=chars))
+    assert (language_id.bundles(texts) == whole).all()
+
+
+#: Names that the stages use themselves.
+CLASHES = ["row", "score", "lang_pred", "removed", "d", "t", "th", "kept", "kept_id", "_d", "_t", "contaminated", "items", "n_words", "n_hit", "spans", "_hits", "_items", "c0", "lid", "first", "hit"]
+
+
+@pytest.mark.parametrize("name", ["language", "lines", "near_copies", "benchmark"])
+def test_stages_keep_foreign_columns(spark, rows, name):
+    columns = ["doc_id", "text", "lang", "source", "n_chars", *CLASHES]
+    known = [(d, t, "xx", "s", len(t or ""), *(f"{c}-{d}" for c in CLASHES)) for d, t in rows if len(t or "") < 20_000]
+    docs = spark.createDataFrame(known, "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    assert out.columns == columns
+    got = out.collect()
+    assert got and all(r[c] == f"{c}-{r['doc_id']}" for r in got for c in CLASHES)
+
+
 def test_language_stage_keeps_short_texts_and_drops_long_noise(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 500").limit(200)
     r = random.Random(6)

@@ -52,8 +52,10 @@ def patch_windows(patches: DataFrame, eras: list[Era]) -> DataFrame:
 
 def patch_token(records: DataFrame, date: str, season: str, windows: DataFrame) -> DataFrame:
     """records with token: the patch window that holds the date, if of the record's season;
-    else the era's token. The windows are a table of at most MAX_ROWS parameters."""
-    w = windows.select(F.col("version"), F.col("start").alias("w_start"), F.col("end").alias("w_end"), F.col("season").alias("w_season")).limit(MAX_ROWS)
+    else the era's token. The windows are a table of parameters; more than MAX_ROWS are refused."""
+    w = windows.select(F.col("version"), F.col("start").alias("w_start"), F.col("end").alias("w_end"), F.col("season").alias("w_season")).limit(MAX_ROWS + 1)
+    if w.count() > MAX_ROWS:
+        raise ValueError(f"more than {MAX_ROWS} patch windows")
     inside = (F.col(date) >= F.col("w_start")) & (F.col("w_end").isNull() | (F.col(date) < F.col("w_end")))
     joined = records.join(F.broadcast(w), inside, "left")
     return joined.withColumn("token", F.when(F.col("w_season") == F.col(season), F.col("version")).otherwise(F.concat(F.lit("S"), F.col(season).cast("string")))).drop("version", "w_start", "w_end", "w_season")

@@ -3,7 +3,9 @@
 Rules of host and path decide first, the longest that fits. Other pages get the verdict of
 their host: trust flows by personalised PageRank from hosts with allowed pages along the
 links, distrust flows from hosts with blocked pages against the links, and a host is blocked
-where its share of all distrust exceeds its share of all trust. The ranks are sums over walks
+where its share of all distrust exceeds its share of all trust by more than rounding (SLACK).
+Edges are the links between hosts that have pages and those of the domain tree (kin), by which
+hosts of one domain are judged together even where all their links are relative. The ranks are sums over walks
 of every length from the seeds; rounds add the next length until no host's rank still grows
 by more than TOLERANCE of itself, so that hosts far from every seed, whose shares are small,
 are judged on settled shares too.
@@ -27,6 +29,9 @@ RULES = [
 DAMPING = 0.85
 #: Growth of a rank in two rounds, as a part of it, that counts as none. There is no limit on rounds.
 TOLERANCE = 1e-6
+#: Shares that differ by less than this part are a tie, which allows: sums of doubles depend on
+#: the order of their rows.
+SLACK = 1e-9
 #: So many rules become one CASE expression; larger lists need a join on the host's suffixes.
 MAX_RULES = 500
 
@@ -54,26 +59,40 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]], field
 def links(pages: DataFrame) -> DataFrame:
     """Host edges (src, dst, n): absolute links in the html and links without a host, which
     stay on their page's host. Links of the same two hosts are counted before the shuffle."""
-    found = F.regexp_extract_all("html", F.lit("(?i)href\\s*=\\s*[\"']([^\"'#]*)"), F.lit(1))
+    found = F.regexp_extract_all("html", F.lit("(?i)href\\s*=\\s*[\"']?([^\"'#\\s>]*)"), F.lit(1))
     targets = pages.select(host_of("url").alias("src"), F.explode(found).alias("link"))
     dst = F.when(F.col("link").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), host_of("link")).when(F.startswith("link", F.lit("//")), ascii_lower(F.regexp_extract("link", "^//([^/?#]*)", 1))).otherwise(F.col("src"))
     return targets.select("src", dst.alias("dst")).where("src != '' and dst != ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
+def kin(hosts: DataFrame) -> DataFrame:
+    """Edges (src, dst, n) of the domain tree, both ways and of one link each: from every host to
+    its parent domain and on to that one's, down to two labels; domains need no pages of their
+    own. Who runs a domain answers for the hosts below it. Addresses of digits have no parents."""
+    labels = F.split("host", "\\.")
+    chain = F.transform(F.sequence(F.lit(1), F.size(labels) - 2), lambda k: F.struct(F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("src"), F.array_join(F.slice(labels, k + 1, F.size(labels)), ".").alias("dst")))
+    up = hosts.where(F.col("host").like("%.%.%") & ~F.col("host").rlike("^[0-9.:]*$")).select(F.explode(chain).alias("e")).select("e.*").distinct()
+    return up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).withColumn("n", F.lit(1).cast("long"))
+
+
 def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, tolerance: float = TOLERANCE) -> DataFrame:
-    """(host, trust, distrust) of every host of a page: shares that sum to one over all hosts."""
+    """(host, trust, distrust) of every host of a page and every domain above one: shares that sum
+    to one over all of them."""
     judged = pages.select("page_host", rule_of(F.col("page_host"), F.col("page_path"), rules, 2).alias("v"))
     seeds = judged.groupBy("page_host").agg(F.sum((F.col("v") == "allow").cast("long")).alias("good"), F.sum((F.col("v") == "block").cast("long")).alias("bad"))
     seeds = cut(seeds.select(F.col("page_host").alias("host"), F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("bad", F.lit(0)).alias("bad")), "hosts")
     total = seeds.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    tree = cut(kin(seeds.select("host")), "tree")
+    domains = tree.select(F.col("src").alias("host")).distinct().join(seeds.select(F.col("host").alias("h0")), F.col("host") == F.col("h0"), "left_anti")
+    seeds = cut(seeds.unionByName(domains.select("host", F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("bad"))), "nodes")
     start = seeds.select("host", (F.col("good") / F.lit(float(total["good"] or 1))).alias("t0"), (F.col("bad") / F.lit(float(total["bad"] or 1))).alias("d0"))
 
-    edges = links(pages).where("src != dst")
+    known = seeds.select("host")
+    edges = links(pages).where("src != dst").join(known.withColumnRenamed("host", "h1"), F.col("src") == F.col("h1"), "left_semi").join(known.withColumnRenamed("host", "h2"), F.col("dst") == F.col("h2"), "left_semi")
+    edges = cut(edges.unionByName(tree).groupBy("src", "dst").agg(F.sum("n").alias("n")), "edges")
     out = edges.groupBy("src").agg(F.sum("n").alias("n_out")).withColumnRenamed("src", "s")
     into = edges.groupBy("dst").agg(F.sum("n").alias("n_in")).withColumnRenamed("dst", "d")
-    known = seeds.select("host")
     weighted = edges.join(out, F.col("src") == F.col("s")).join(into, F.col("dst") == F.col("d"))
-    weighted = weighted.join(known.withColumnRenamed("host", "h1"), F.col("src") == F.col("h1"), "left_semi").join(known.withColumnRenamed("host", "h2"), F.col("dst") == F.col("h2"), "left_semi")
     # one list for both: trust goes from src to dst, distrust from dst to src
     forward = weighted.select(F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("n") / F.col("n_out")).alias("t"), F.lit(0.0).alias("d"))
     backward = weighted.select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("n") / F.col("n_in")).alias("d"))
@@ -111,7 +130,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, threshold
     scores = host_scores(read, rules)
     found = read.drop("html").join(scores, F.col("page_host") == F.col("host"), "left")
     host, path = F.col("page_host"), F.col("page_path")
-    spread = F.when(F.col("page_host") == "", F.lit("allow")).when(F.coalesce("distrust", F.lit(0.0)) > F.lit(threshold) * F.coalesce("trust", F.lit(0.0)), F.lit("block")).otherwise("allow")
+    spread = F.when(F.col("page_host") == "", F.lit("allow")).when(F.coalesce("distrust", F.lit(0.0)) > F.lit(threshold * (1 + SLACK)) * F.coalesce("trust", F.lit(0.0)), F.lit("block")).otherwise("allow")
     return found.select(*(F.col(f"`{c}`") for c in own), host.alias("host"), path.alias("path"), rule_of(host, path, rules, None).alias("rule"), F.coalesce(rule_of(host, path, rules, 2), spread).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
 
 

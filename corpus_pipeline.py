@@ -14,10 +14,9 @@ from quillon.llm.common import cut, fold, table
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which no language is found: without text, without a letter or
     long and unlike any language learned."""
-    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
-    text = f"c{docs.columns.index('text')}"
     model = language_id.learn(docs.where(~F.coalesce(fold(parts=4) == 2, F.lit(False))))
-    return language_id.predict(plain, model, text).where(language_id.known(text)).select(*plain.columns).toDF(*docs.columns)
+    found = docs.select(F.struct("*").alias("row"), language_id.verdict(F.col("text"), model).alias("found"))
+    return found.where(language_id.known(F.col("row.text"), F.col("found"))).select("row.*")
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 13
@@ -96,59 +96,72 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
         yield sorted((r["id"], r["text"]) for r in part.collect())
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
+def _searched(text: Column, items: list[tuple[str, str]], window: int) -> Column:
+    """n_words, hits and ids of a text. Only texts go to Python and only this comes back."""
+
+    @F.pandas_udf(f"n_words bigint, hits {_HITS}, ids array<string>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        machine = _machine(items, window)
+        for batch in batches:
+            rows = []
+            for t in batch:
+                words = words_of(t if isinstance(t, str) else None)
+                runs, found = machine.scan(words)
+                rows.append((len(words), [{"first": x, "last": y} for x, y in runs], sorted(found)))
+            yield pd.DataFrame(rows, columns=["n_words", "hits", "ids"])
+
+    return search(text)
+
+
+def _joined(hits: pd.Series) -> pd.Series:
+    """The runs of several blocks of the benchmark as one list."""
+    return pd.Series([[{"first": a, "last": b} for a, b in merged([(x["first"], x["last"]) for x in h])] for h in hits])
+
+
+def _places(texts: pd.Series, hits: pd.Series) -> pd.Series:
+    """Offsets of the runs in the original text, in code points."""
+    out = []
+    for t, h in zip(texts, hits, strict=True):
+        at = [m.span() for m in WORD.finditer(t)] if len(h) else []
+        out.append([{"start": at[x["first"]][0], "end": at[x["last"]][1]} for x in h])
+    return pd.Series(out)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """row (all of the document), n_words, hits, items, n_hit and contaminated."""
+    blocks = [_searched(F.col("row.text"), items, window) for items in _blocks(benchmark)]
+    found = docs.select(F.struct("*").alias("row")).select("row", *(b.alias(f"b{k}") for k, b in enumerate(blocks)))
+    hits, items = F.col("b0.hits"), F.col("b0.ids")
+    if len(blocks) > 1:
+        names = [F.col(f"b{k}") for k in range(len(blocks))]
+        hits = F.pandas_udf(_joined, _HITS)(F.flatten(F.array(*(x["hits"] for x in names))))
+        items = F.array_sort(F.array_distinct(F.flatten(F.array(*(x["ids"] for x in names)))))
+    found = found.select("row", F.col("b0.n_words").alias("n_words"), hits.alias("hits"), items.alias("items"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x["last"] - x["first"] + 1)
+    return found.withColumn("n_hit", n_hit).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+
+
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with n_words, n_hit, items (sorted ids), spans (start, end offsets of the hit runs
-    in the original text, in code points) and contaminated (at least 5 % of the words are hit).
-    Null and empty texts have no words; an empty benchmark hits nothing. A text beyond
-    Python's surrogates is not expected: Spark strings are valid UTF-8."""
-    out = docs.withColumn("_hits", F.lit(None).cast(_HITS)).withColumn("_items", F.lit(None).cast("array<string>"))
-    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    schema = ", ".join([*names, f"_hits {_HITS}", "_items array<string>"])
-
-    def one(items: list[tuple[str, str]]):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            machine = _machine(items, window)
-            for frame in frames:
-                hits, ids = [], []
-                for t, h, i in zip(frame[text], frame["_hits"], frame["_items"], strict=True):
-                    runs, found = machine.scan(words_of(t if isinstance(t, str) else None))
-                    runs += [] if h is None else [(x["first"], x["last"]) for x in h]
-                    hits.append([{"first": a, "last": b} for a, b in merged(runs)])
-                    ids.append(sorted(found.union(() if i is None else i)))
-                yield frame.assign(_hits=hits, _items=ids)
-
-        return run
-
-    for items in _blocks(benchmark):
-        out = out.mapInPandas(one(items), schema)
-
-    def close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            n_words, n_hit, spans = [], [], []
-            for t, hits in zip(frame[text], frame["_hits"], strict=True):
-                t = t if isinstance(t, str) else ""
-                n_words.append(len(words_of(t)))
-                n_hit.append(sum(x["last"] - x["first"] + 1 for x in hits))
-                places = [m.span() for m in WORD.finditer(t)] if len(hits) else []
-                spans.append([{"start": places[x["first"]][0], "end": places[x["last"]][1]} for x in hits])
-            own = frame.drop(columns=["_hits", "_items"])
-            yield own.assign(n_words=n_words, n_hit=n_hit, items=frame["_items"], spans=spans)
-
-    schema = ", ".join([*names, "n_words bigint", "n_hit bigint", "items array<string>", "spans array<struct<start:bigint,end:bigint>>"])
-    return out.mapInPandas(close, schema).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+    in the original text, in code points) and contaminated (at least 5 % of the words are hit),
+    in place of own columns of these names. Null and empty texts have no words; an empty
+    benchmark hits nothing. A text beyond Python's surrogates is not expected: Spark strings
+    are valid UTF-8."""
+    spans = F.pandas_udf(_places, "array<struct<start:bigint,end:bigint>>")(F.coalesce("row.text", F.lit("")), "hits")
+    new = ["n_words", "n_hit", "items", "spans", "contaminated"]
+    out = _found(docs, benchmark, window).withColumn("spans", spans)
+    return out.select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c not in new), *new)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The contract's row for each document."""
-    found = mark(docs.select("doc_id", "text"), benchmark)
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+    items = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    return _found(docs.select("doc_id", "text"), benchmark).select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items, "contaminated")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns, whatever their names."""
-    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
-    found = mark(plain, benchmark, text=f"c{docs.columns.index('text')}").where(~F.col("contaminated"))
-    return found.select(*plain.columns).toDF(*docs.columns)
+    return _found(docs, benchmark).where(~F.col("contaminated")).select("row.*")
 
 
 SQL = """

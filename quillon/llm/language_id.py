@@ -22,7 +22,7 @@ from quillon.llm.common import fold
 DIMENSIONS = 512
 #: Characters that are turned into trigrams at once; longer texts are taken in pieces
 #: of this length, each with what the trigrams over its start need of the one before.
-PIECE = 1_000_000
+PIECE = 250_000
 #: Largest alphabet of a batch whose trigrams are counted in a direct table.
 DIRECT = 160
 #: More languages than this are refused: the prototypes travel through the driver.
@@ -106,7 +106,7 @@ def _pieces(text: str, chars: int) -> Iterator[str]:
         begin = max(0, begin - 1)
 
 
-def _batches(texts: list[str | None], rows: int = 128, chars: int = PIECE) -> Iterator[tuple[int, int, list[str], list[int]]]:
+def _batches(texts: list[str | None], rows: int = 64, chars: int = PIECE) -> Iterator[tuple[int, int, list[str], list[int]]]:
     """(first row, one past the last, pieces, each piece's row from the first on): every text has
     a boundary of its own at both ends, whatever its neighbours; a batch has no more than so
     many rows and pieces of so many characters, but for one long text."""
@@ -158,17 +158,16 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return [r["lang"] for r in rows], matrix / np.where(norms == 0, 1, norms)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """docs with lang_pred and score, the cosine cut to 0..1. Rows without text, without a
-    letter or without any learned language get `und` and 0; any other text has a trigram, if
-    only of its ends and a letter. Ties go to the first in order."""
+def verdict(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
+    """lang_pred and score, the cosine cut to 0..1. Texts that are null, without a letter or
+    without any learned language get `und` and 0; any other text has a trigram, if only of its
+    ends and a letter. Ties go to the first in order. Only texts go to Python."""
     langs, prototypes = model
-    names = [f.name for f in docs.schema if f.name not in ("lang_pred", "score")]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names), "lang_pred string", "score double"])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = [x if isinstance(x, str) else None for x in frame[text]]
+    @F.pandas_udf("lang_pred string, score double")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [x if isinstance(x, str) else None for x in batch]
             has = np.array([x is not None and any(c.isalpha() for c in x) for x in texts], bool)
             if langs and len(texts):
                 v = bundles(texts)
@@ -179,18 +178,15 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
                 pred = np.array(langs, object)[best]
             else:
                 has, score, pred = np.zeros(len(texts), bool), np.zeros(len(texts)), np.full(len(texts), "und", object)
-            out = frame[names].copy()
-            out["lang_pred"] = np.where(has, pred, "und")
-            out["score"] = np.where(has, score, 0.0)
-            yield out
+            yield pd.DataFrame({"lang_pred": np.where(has, pred, "und"), "score": np.where(has, score, 0.0)})
 
-    return docs.select(*(F.col(f"`{n}`") for n in names)).mapInPandas(run, schema)
+    return judge(text)
 
 
-def known(text: str = "text") -> Column:
-    """Whether a row of predict is in a language learned, as far as its length lets it be told."""
+def known(text: Column, found: Column) -> Column:
+    """Whether a verdict names a language, as far as the text's length lets it be told."""
     short = F.coalesce(F.regexp_count(text, F.lit("\\p{L}")), F.lit(0)) < LETTERS
-    return (F.col("lang_pred") != "und") & (short | (F.col("score") >= LEAST))
+    return (found["lang_pred"] != "und") & (short | (found["score"] >= LEAST))
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -198,4 +194,4 @@ def identify(docs: DataFrame) -> DataFrame:
     are not held out (crc32 of the id as text, modulo 4, is 2; a null id is not held out)."""
     held = F.coalesce(fold(parts=4) == 2, F.lit(False))
     model = learn(docs.where(~held))
-    return predict(docs.select("doc_id", held.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return docs.select("doc_id", held.alias("held_out"), verdict(F.col("text"), model).alias("v")).select("doc_id", "held_out", "v.lang_pred", "v.score")

@@ -326,6 +326,15 @@ def test_decontamination(spark):
     assert spark_bag(queries.op9_decontaminate(spark, SF)) == duck_bag(SF, sql)
 
 
+def test_decontamination_in_blocks(spark, monkeypatch):
+    """A benchmark of several blocks gives what one automaton gives."""
+    docs, bench = (spark.read.parquet(f"{SF.replace('0.01', '0.001')}/{x}.parquet") for x in ("documents", "benchmark"))
+    whole = sorted(map(tuple, decontaminate.digest(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", bench.selectExpr("sum(octet_length(text)) as n").first()["n"] // 3)
+    assert sorted(map(tuple, decontaminate.digest(docs, bench).collect())) == whole
+    assert any(r[-1] for r in whole)
+
+
 def test_decontamination_offsets(spark):
     words = [f"w{i}" for i in range(13)]
     bench = spark.createDataFrame([(1, "A b-c"), (2, " ".join(words)), (3, None), (4, "!!")], "item_id bigint, text string")

@@ -48,7 +48,7 @@ def drop_cuts(*tables: DataFrame) -> None:
 
 
 #: Slots of a table of bits, six in a byte; the driver holds this table and no more.
-BITS, IN_BYTE = 1 << 20, 6
+BITS, IN_BYTE = 1 << 19, 6
 
 
 def bits_of(rows: DataFrame, h: Column) -> Column:

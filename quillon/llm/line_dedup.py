@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, text_or_empty
 
 #: Counters of the rarity table, one byte each; the driver holds this table and no more.
-COUNTERS = 1 << 19
+COUNTERS = 1 << 18
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
 #: Lines before a line that it is compared with when variants are looked for.

@@ -31,7 +31,7 @@ COUNTERS = 1 << 18
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
 #: Lines before a line that it is compared with when variants are looked for.
-NEIGHBOURS = 2
+NEIGHBOURS = 4
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million

@@ -110,7 +110,7 @@ def description_benches(spark, d):
 
 
 def description_alignment(spark, d):
-    """Benches against titles by k % 8: handles in order, crosswise, characters in
+    """T14 T15 and the characters of T16: benches against titles by k % 8: handles in order, crosswise, characters in
     order, crosswise, both ways, neither, an empty side, handles in other letters."""
     o, shape = _orders(spark, d).withColumn("none", F.array().cast("array<string>")), F.col("k") % 8
     a, b, both = F.array("ia"), F.array("ib"), F.array("ia", "ib")

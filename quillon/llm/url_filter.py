@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import ascii_lower, cut
+from quillon.llm.common import ascii_lower, cut, drop_cuts
 
 #: (host, path, verdict): fixed by the contract.
 RULES = [
@@ -27,8 +27,10 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 DAMPING = 0.85
-#: Growth of a rank in two rounds, as a part of it, that counts as none. There is no limit on rounds.
+#: Growth of a rank between two cuts, as a part of it, that counts as none. There is no limit on rounds.
 TOLERANCE = 1e-6
+#: Rounds in one plan: more make fewer tables and checks, of longer plans.
+ROUNDS_A_CUT = 8
 #: Shares that differ by less than this part are a tie, which allows: sums of doubles depend on
 #: the order of their rows.
 SLACK = 1e-9
@@ -98,25 +100,23 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, tol
     backward = weighted.select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("n") / F.col("n_in")).alias("d"))
     steps = cut(forward.unionByName(backward).groupBy("from", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")), "steps")
 
-    # walks of no step; each round adds those of one step more, so no rank ever falls
-    now = start.select("host", *(((1 - DAMPING) * F.col(c)).alias(c) for c in ("t0", "d0")))
-    now = now.select("*", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
     if steps.isEmpty():
         return start.select("host", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
+    # walks of no step; each round adds those of one step more, so no rank ever falls
+    base = cut(start.select("host", ((1 - DAMPING) * F.col("t0")).alias("trust"), ((1 - DAMPING) * F.col("d0")).alias("distrust")), "start")
+    now = base
     grows = lambda c: F.col(c) - F.col(f"{c}_old") > F.lit(tolerance) * F.col(c)
     growing = True
     while growing:
         old = now
-        for _ in range(2):
-            moved = steps.join(now, F.col("from") == F.col("host")).groupBy("to").agg(F.sum(F.col("trust") * F.col("t")).alias("mt"), F.sum(F.col("distrust") * F.col("d")).alias("md"))
-            now = now.join(moved, F.col("host") == F.col("to"), "left").select(
-                "host", "t0", "d0",
-                (F.col("t0") + DAMPING * F.coalesce("mt", F.lit(0.0))).alias("trust"),
-                (F.col("d0") + DAMPING * F.coalesce("md", F.lit(0.0))).alias("distrust"),
-            )
+        for _ in range(ROUNDS_A_CUT):
+            moved = steps.join(now, F.col("from") == F.col("host")).select(F.col("to").alias("host"), (DAMPING * F.col("trust") * F.col("t")).alias("trust"), (DAMPING * F.col("distrust") * F.col("d")).alias("distrust"))
+            now = base.unionByName(moved).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         now = cut(now, "ranks")
         before = old.select(F.col("host").alias("h_old"), F.col("trust").alias("trust_old"), F.col("distrust").alias("distrust_old"))
         growing = not now.join(before, F.col("host") == F.col("h_old")).where(grows("trust") | grows("distrust")).isEmpty()
+        if old is not base:
+            drop_cuts(old)
     total = now.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
     return now.select("host", (F.col("trust") / F.lit(total["t"] or 1.0)).alias("trust"), (F.col("distrust") / F.lit(total["d"] or 1.0)).alias("distrust"))
 

@@ -60,6 +60,24 @@ def accent_contrast(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", "colour", F.round("light", 6).alias("luminance"), F.round(contrast(F.col("light"), luminance(F.lit("101418"))), 4).alias("contrast"))
 
 
+def settled_shares(spark: SparkSession, d: str) -> DataFrame:
+    """what part of a segment's orders is settled, as text with one decimal."""
+    both = _t(spark, d, "orders").join(_t(spark, d, "customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    n = both.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("settled"))
+    # tenths of a percent, rounded half up in whole numbers
+    tenths = F.expr("(2000 * settled + n) div (2 * n)")
+    return n.select("c_mktsegment", F.concat(F.expr("(2000 * settled + n) div (2 * n) div 10").cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%")).alias("share"))
+
+
+def empty_sides(spark: SparkSession, d: str) -> DataFrame:
+    """Records that break the contract of two sides with an entity each: `side` is the one that
+    has none; a record without any has two rows."""
+    held = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max((F.col("l_linenumber") % 2 == 0).cast("int")).alias("even"), F.max((F.col("l_linenumber") % 2 == 1).cast("int")).alias("odd"))
+    records = _t(spark, d, "orders").select("o_orderkey").join(held, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("even").alias("has")), F.struct(F.lit(1).alias("side"), F.col("odd").alias("has")))
+    return records.select("o_orderkey", F.explode(sides).alias("s")).where("coalesce(s.has, 0) = 0").select("o_orderkey", "s.side")
+
+
 def _channel(x: str) -> str:
     return f"CASE WHEN {x} / 255.0::DOUBLE <= 0.03928 THEN {x} / 255.0::DOUBLE / 12.92 ELSE pow(({x} / 255.0::DOUBLE + 0.055) / 1.055, 2.4) END"
 
@@ -71,7 +89,7 @@ def _light(x: str) -> str:
 
 _GROUND = _light("1053720")
 
-QUERIES = {f.__name__: f for f in (first_resolved, top_entity, frame_stamps, label_keys, accent_contrast)}
+QUERIES = {f.__name__: f for f in (first_resolved, top_entity, frame_stamps, label_keys, accent_contrast, settled_shares, empty_sides)}
 
 SQL = {
     "first_resolved": """SELECT o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS first_day, o_orderkey AS first_key FROM orders WHERE o_orderstatus = 'F'
@@ -80,6 +98,10 @@ SQL = {
   QUALIFY row_number() OVER (PARTITION BY p_size ORDER BY count(*) DESC, p_brand) = 1""",
     "frame_stamps": "SELECT o_orderkey, CASE WHEN length(w) >= 6 THEN w ELSE lpad(w, 6, '0') END AS stamp FROM (SELECT o_orderkey, CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) AS w FROM orders)",
     "label_keys": "SELECT l_orderkey, l_linenumber, concat_ws('/', l_orderkey, l_linenumber % 2, l_partkey) AS label_key, CAST(l_orderkey AS BIGINT) AS record, CAST(l_linenumber % 2 AS INT) AS side, CAST(l_partkey AS BIGINT) AS second FROM lineitem",
+    "settled_shares": """SELECT c_mktsegment, CAST(t // 10 AS VARCHAR) || '.' || CAST(t % 10 AS VARCHAR) || '%' AS share FROM (SELECT c_mktsegment,
+  (2000 * count(*) FILTER (o_orderstatus = 'F') + count(*)) // (2 * count(*)) AS t FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment)""",
+    "empty_sides": """SELECT o_orderkey, CAST(side AS INT) AS side FROM orders, (VALUES (0), (1)) AS v(side)
+  WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber % 2 = side)""",
     "accent_contrast": f"""SELECT p_partkey, lpad(to_hex(x), 6, '0') AS colour, round(light, 6) AS luminance, round((greatest(light, ground) + 0.05) / (least(light, ground) + 0.05), 4) AS contrast
   FROM (SELECT p_partkey, x, {_light('x')} AS light, {_GROUND} AS ground FROM (SELECT p_partkey, CAST(p_partkey AS BIGINT) * 2654435 % 16777216 AS x FROM part))""",
 }

@@ -78,6 +78,26 @@ def empty_sides(spark: SparkSession, d: str) -> DataFrame:
     return records.select("o_orderkey", F.explode(sides).alias("s")).where("coalesce(s.has, 0) = 0").select("o_orderkey", "s.side")
 
 
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two arrays of numbers; null where one is all zeros."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
+
+
+def l1(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: F.abs(p.cast("double") - q)), F.lit(0.0), lambda s, v: s + v)
+
+
+def profile_distance(spark: SparkSession, d: str) -> DataFrame:
+    """cosine and L1 distance of every vector and the mean of its label. The means come
+    from sums by label and place, so no vector of a label meets another one in a task."""
+    rows = _t(spark, d, "embeddings")
+    places = rows.select("label", F.posexplode("embedding").alias("at", "x")).groupBy("label", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    means = places.groupBy(F.col("label").alias("of")).agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("mean"))
+    both = rows.join(means.select("of", F.col("mean.x").alias("mean")), F.col("label") == F.col("of"))
+    return both.select("vec_id", F.round(cosine(F.col("embedding"), F.col("mean")), 5).alias("cosine"), F.round(l1(F.col("embedding"), F.col("mean")), 4).alias("l1"))
+
+
 def _channel(x: str) -> str:
     return f"CASE WHEN {x} / 255.0::DOUBLE <= 0.03928 THEN {x} / 255.0::DOUBLE / 12.92 ELSE pow(({x} / 255.0::DOUBLE + 0.055) / 1.055, 2.4) END"
 
@@ -89,7 +109,7 @@ def _light(x: str) -> str:
 
 _GROUND = _light("1053720")
 
-QUERIES = {f.__name__: f for f in (first_resolved, top_entity, frame_stamps, label_keys, accent_contrast, settled_shares, empty_sides)}
+QUERIES = {f.__name__: f for f in (first_resolved, top_entity, frame_stamps, label_keys, accent_contrast, settled_shares, empty_sides, profile_distance)}
 
 SQL = {
     "first_resolved": """SELECT o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS first_day, o_orderkey AS first_key FROM orders WHERE o_orderstatus = 'F'
@@ -102,6 +122,9 @@ SQL = {
   (2000 * count(*) FILTER (o_orderstatus = 'F') + count(*)) // (2 * count(*)) AS t FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment)""",
     "empty_sides": """SELECT o_orderkey, CAST(side AS INT) AS side FROM orders, (VALUES (0), (1)) AS v(side)
   WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber % 2 = side)""",
+    "profile_distance": """WITH p AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+  m AS (SELECT label, i, avg(x) AS y FROM p GROUP BY ALL)
+  SELECT vec_id, round(sum(x * y) / sqrt(sum(x * x) * sum(y * y)), 5) AS cosine, round(sum(abs(x - y)), 4) AS l1 FROM p JOIN m USING (label, i) GROUP BY vec_id""",
     "accent_contrast": f"""SELECT p_partkey, lpad(to_hex(x), 6, '0') AS colour, round(light, 6) AS luminance, round((greatest(light, ground) + 0.05) / (least(light, ground) + 0.05), 4) AS contrast
   FROM (SELECT p_partkey, x, {_light('x')} AS light, {_GROUND} AS ground FROM (SELECT p_partkey, CAST(p_partkey AS BIGINT) * 2654435 % 16777216 AS x FROM part))""",
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import decontaminate, language_id, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity, url_filter, warc
+from quillon.llm import ball_tree, decontaminate, language_id, line_dedup, mixing, pivot_search, quality, simhash, suffix_dedup, toxicity, url_filter, warc, whitening
 from quillon.llm.common import table
 
 
@@ -50,10 +50,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontaminate": decontaminate.SQL}
+    return {"op9_decontaminate": decontaminate.SQL, "op11_centroids": ball_tree.SQL, "op12_top_k": pivot_search.SQL}

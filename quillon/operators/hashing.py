@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.operators.ordering import null_safe
+from quillon.sources.shared import stored
+
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)).cast("long")
@@ -42,25 +44,31 @@ def nearest(df: DataFrame, hash_: str, templates: DataFrame, limit: int = 1_000)
     return out.withColumn("near_label", first["label"]).withColumn("dist", first["d"]).withColumn("margin", second["d"] - first["d"]).drop("_d")
 
 
-def leaders(df: DataFrame, keys: list[str], order: str, hash_: str, within: int) -> DataFrame:
-    """Greedy clusters: in order, a row joins the first leader within reach or leads itself.
-    A group's rows stream through one task, which keeps its leaders only."""
-    schema = ", ".join([*(f"{df.schema[k].name} {df.schema[k].dataType.simpleString()}" for k in keys), f"{order} {df.schema[order].dataType.simpleString()}", "leader bigint"])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[tuple, list[tuple[int, int]]] = {}
-        for frame in frames:
-            out = []
-            for row in frame.itertuples(index=False):
-                own, at, h = tuple(row[: len(keys)]), row[len(keys)], row[len(keys) + 1] & (1 << 64) - 1
-                if own not in found:
-                    found.clear()  # rows come sorted by group
-                    found[own] = []
-                leader = next((i for i, x in found[own] if (x ^ h).bit_count() <= within), None)
-                if leader is None:
-                    found[own].append((at, h))
-                    leader = at
-                out.append((*own, at, leader))
-            yield pd.DataFrame(out, columns=[*keys, order, "leader"])
-
-    return df.select(*keys, order, hash_).repartition(*keys).sortWithinPartitions(*keys, order).mapInPandas(run, schema)
+def leaders(df: DataFrame, keys: list[str], order: str, hash_: str, within: int, batch: int = 256) -> DataFrame:
+    """Greedy clusters: in order, a row joins the first leader within reach or leads itself. Equal
+    hashes of a group are one from the start. A round lets the first batch of open hashes of each group find their
+    leaders among themselves, an array of at most batch, and gives every open hash to the first of these within its reach;
+    what is open after that meets later leaders only, so the result is that of one row after the other.
+    A round is a pass over the open hashes wherever they lie; no group is brought into one task.
+    Rows without a hash have no leader."""
+    c = F.col
+    rows = df.select(*keys, c(order).alias("_at"), c(hash_).alias("_h"))
+    open_ = rows.where("_h is not null").groupBy(*keys, "_h").agg(F.min("_at").alias("_at"))
+    found: list[DataFrame] = []
+    while True:
+        open_ = stored(open_, "open")
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("_at", "_h"))
+        head = open_.withColumn("_n", place).where(c("_n") <= batch).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_n", c("_at").alias("at"), c("_h").alias("h")))).alias("_rows"))
+        near = lambda x, h: hamming(x["h"], h) <= within
+        led = F.aggregate("_rows", F.slice("_rows", 1, 0), lambda s, x: F.when(F.exists(s, lambda y: near(y, x["h"])), s).otherwise(F.array_append(s, x)))
+        lists = head.select(*keys, led.alias("_led"))
+        met = open_.alias("o").join(lists.alias("l"), null_safe("o", "l", keys))
+        first = F.get(F.filter("l._led", lambda x: near(x, c("o._h"))), F.lit(0))["at"]
+        met = stored(met.select(*(c(f"o.{k}") for k in keys), "o._at", "o._h", first.alias("leader")), "met")
+        found.append(met.where("leader is not null"))
+        open_ = met.where("leader is null").drop("leader")
+        if open_.isEmpty():
+            break
+    settled = reduce(DataFrame.unionByName, found)
+    both = rows.alias("r").join(settled.alias("s"), null_safe("r", "s", [*keys, "_h"]), "left")
+    return both.select(*(c(f"r.{k}") for k in keys), c("r._at").alias(order), c("s.leader"))

@@ -147,6 +147,10 @@ def hashes(spark, d):
 
 _HASH = "h AS (SELECT vec_id, CAST(label AS BIGINT) AS label, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings)"
 _MAJORITY = f"{_HASH}, x AS (SELECT label, unnest(bits) AS bit, generate_subscripts(bits, 1) AS i FROM h), m AS (SELECT label, i, CASE WHEN 2 * sum(bit) >= count(*) THEN 1 ELSE 0 END AS bit FROM x GROUP BY ALL), tm AS (SELECT label, list(bit ORDER BY i) AS bits FROM m GROUP BY 1)"
+_LED = """h AS (SELECT vec_id, CAST(label AS BIGINT) AS label, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END), '')::BIT AS h FROM embeddings),
+  x AS (SELECT label, list({'id': vec_id, 'h': h} ORDER BY vec_id) AS xs FROM h GROUP BY 1),
+  l AS (SELECT label, list_reduce(xs, lambda a, x: CASE WHEN len(list_filter(a, lambda y: bit_count(xor(y.h, x.h)) <= 24)) > 0 THEN a ELSE list_append(a, x) END, [xs[1]]) AS ls FROM x),
+  g AS (SELECT h.label, vec_id, list_filter(ls, lambda y: bit_count(xor(y.h, h.h)) <= 24)[1].id AS leader FROM h JOIN l USING (label))"""
 
 
 def majority_hash(spark, d):
@@ -173,6 +177,15 @@ def leader_clusters(spark, d):
     return hs.leaders(hashes(spark, d), ["label"], "vec_id", "hash", 24).groupBy("label").agg(F.count_distinct("leader").alias("groups"), F.count("*").alias("n"))
 
 
+def leader_sizes(spark, d):
+    """Each label's clusters, the share of its rows in the three largest and the largest one's
+    leader (the first where sizes tie); labels of at least twelve rows."""
+    sizes = hs.leaders(hashes(spark, d), ["label"], "vec_id", "hash", 24).groupBy("label", "leader").agg(F.count("*").alias("n"))
+    placed = sizes.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "leader")))
+    g = placed.groupBy("label").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.when(F.col("place") <= 3, F.col("n"))).alias("top"), F.min_by("leader", "place").alias("largest"))
+    return g.where("n >= 12").select("label", "groups", "n", F.round(F.col("top") / F.col("n"), 6).alias("share"), "largest")
+
+
 def decoded(seen: DataFrame, keys: list[str], lead: int = 3, trail: int = 4) -> DataFrame:
     """seen (distinct names) with key, dist and margin: each key is judged by the best of the
     name's end trims, the nearest key wins, margin is the runner-up's distance less its own. A
@@ -220,6 +233,8 @@ SQL = {
     "majority_hash": f"WITH {_MAJORITY} SELECT tm.label, (SELECT count(*) FROM h WHERE h.label = tm.label) AS n, CAST(list_sum(bits) AS BIGINT) AS ones FROM tm",
     "nearest_template": f"WITH {_MAJORITY}, d AS (SELECT vec_id, h.label AS label, tm.label AS tl, list_sum(list_transform(list_zip(h.bits, tm.bits), lambda x: CASE WHEN x[1] != x[2] THEN 1 ELSE 0 END)) AS dist FROM h, tm), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, tl) AS k FROM d) SELECT label, count(*) FILTER (k = 1 AND label = tl) AS right, CAST(sum(dist) FILTER (k = 1) AS BIGINT) AS dist, CAST(sum(dist) FILTER (k = 2) - sum(dist) FILTER (k = 1) AS BIGINT) AS margin FROM k GROUP BY 1",
     "hamming_neighbours": f"WITH {_HASH}, l AS (SELECT vec_id, bits, lag(bits) OVER (PARTITION BY label ORDER BY vec_id) AS before FROM h) SELECT vec_id, CAST(list_sum(list_transform(list_zip(bits, before), lambda x: CASE WHEN x[1] != x[2] THEN 1 ELSE 0 END)) AS BIGINT) AS dist FROM l WHERE before IS NOT NULL",
+    "leader_clusters": f"WITH {_LED} SELECT label, count(DISTINCT leader) AS groups, count(*) AS n FROM g GROUP BY 1",
+    "leader_sizes": f"WITH {_LED}, c AS (SELECT label, leader, count(*) AS n FROM g GROUP BY ALL), s AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, leader) - 1 AS place FROM c) SELECT label, count(*) AS groups, CAST(sum(n) AS BIGINT) AS n, round(sum(n) FILTER (place < 3) / sum(n), 6) AS share, arg_min(leader, place) AS largest FROM s GROUP BY 1 HAVING sum(n) >= 12",
 }
 
-QUERIES = {name: globals()[name] for name in [*SQL, "leader_clusters", "osa_fuzzy_match"]}
+QUERIES = {name: globals()[name] for name in [*SQL, "osa_fuzzy_match"]}

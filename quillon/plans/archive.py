@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.functions.vectorized import nfkd
 from quillon.operators import appearances as ap
 from quillon.operators import intervals as iv
 from quillon.operators import text as tx
@@ -127,8 +128,8 @@ def iso_duration_seconds(spark, d):
 
 
 def slug_keys(spark, d):
-    """T12 T14 O2"""
-    return t(spark, d, "customer").select("c_custkey", tx.slug(F.col("c_name")).alias("slug"), F.regexp_replace(F.lower("c_name"), "[^a-z0-9]", "").alias("key"))
+    """T12 T14"""
+    return t(spark, d, "customer").select("c_custkey", tx.slug(nfkd("c_name")).alias("slug"), F.regexp_replace(F.lower("c_name"), "[^a-z0-9]", "").alias("key"))
 
 
 def pairs(spark, d):

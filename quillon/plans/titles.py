@@ -65,6 +65,9 @@ _EXPECTED = f"""WITH {_ORDERS}, e AS (SELECT *, k % 23 AS shape, CASE
   WHEN k % 23 = 9 THEN 'bad-handle' WHEN k % 23 IN (11, 13) THEN 'other-game' WHEN k % 23 = 12 OR (k % 23 = 19 AND k % 2 = 0) THEN 'not-this-game'
   WHEN k % 23 = 14 THEN 'pre-launch' WHEN k % 23 = 15 THEN 'live-or-upcoming' WHEN k % 23 = 16 THEN 'not-a-match' WHEN k % 23 = 17 THEN 'short-duration' END AS reason FROM o)"""
 
+#: A fighter as titles say it.
+_SAID = "['Iron Bolt', 'Ring-Man', 'Small Ring', 'Ring', 'Nut'][list_position(" + _IDS + ", b)]"
+
 
 def title_parses(spark, d):
     """What every title gives."""
@@ -139,7 +142,7 @@ def patch_title_dates(spark, d):
 QUERIES = {f.__name__: f for f in (title_parses, slot_order_tally, review_rows, miss_reasons, description_benches, description_alignment, patch_title_dates)}
 
 SQL = {
-    "title_parses": f"""{_EXPECTED} SELECT k, reason, CASE WHEN shape = 13 THEN 'both markers' WHEN shape IN (6, 21) THEN 'no (chars) slot' END AS detail,
+    "title_parses": f"""{_EXPECTED} SELECT k, reason, CASE WHEN shape = 13 THEN 'both markers' WHEN shape IN (6, 21) THEN 'no (chars) slot' WHEN shape = 9 THEN repeat('x', 41) || ' | ' || h2 WHEN shape = 10 THEN 'Bolded | ' || {_SAID} END AS detail,
       CASE WHEN reason IS NULL THEN CASE shape WHEN 4 THEN 'parallel-lists|parallel-lists' WHEN 1 THEN 'handle-first|chars-first' ELSE 'handle-first|handle-first' END END AS orders,
       CASE WHEN reason IS NULL OR reason = 'char-unresolved' THEN h1 || '|' || h2 END AS handles,
       CASE WHEN reason IS NULL THEN CASE shape WHEN 3 THEN a || '+' || b || '|' || b || '+' || a ELSE a || '|' || b END END AS characters, shape = 20 AS decomposed FROM e""",

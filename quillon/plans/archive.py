@@ -143,10 +143,12 @@ _PAIRS = f"{_SIDES}, pairs AS (SELECT l_orderkey, coalesce(any_value(characters)
 
 
 def bench_alignment(spark, d):
-    """T15 U5 U6"""
+    """Titles name the first of either side; every third record's bench has its sides crosswise, and every
+    fifth is known by its handles."""
     sub = lambda x, y: (F.size(x) > 0) & (F.size(F.array_except(x, y)) == 0)
-    title_a, title_b = F.slice("a", 1, 1), F.slice("b", 1, 1)
-    straight, swapped = sub(title_a, F.col("a")) & sub(title_b, F.col("b")), sub(title_a, F.col("b")) & sub(title_b, F.col("a"))
+    title_a, title_b, cross = F.slice("a", 1, 1), F.slice("b", 1, 1), F.col("l_orderkey") % 3 == 1
+    bench_a, bench_b = F.when(cross, F.col("b")).otherwise(F.col("a")), F.when(cross, F.col("a")).otherwise(F.col("b"))
+    straight, swapped = sub(title_a, bench_a) & sub(title_b, bench_b), sub(title_a, bench_b) & sub(title_b, bench_a)
     how = F.when(F.col("l_orderkey") % 5 == 0, "handle").when(straight & ~swapped, "straight").when(swapped & ~straight, "swapped").otherwise("ambiguous")
     return pairs(spark, d).groupBy(how.alias("how")).agg(F.count("*").alias("n"))
 
@@ -253,14 +255,14 @@ def json_sorted_map(spark, d):
 
 
 def worklist_rarity(spark, d):
-    """A44 O5 J12"""
+    """template_worklist has the order."""
     p = pairs(spark, d).where((F.size("a") >= 2) & (F.size("b") >= 2))
     freq = p.select(F.explode("a").alias("entity")).groupBy("entity").agg(F.count("*").alias("f"))
     return p.select("l_orderkey", F.explode("a").alias("entity")).join(freq, "entity").groupBy("l_orderkey").agg(F.min("f").alias("rarity"), F.count("*").alias("candidates"))
 
 
 def settled_worklist(spark, d):
-    """WL2 WL3 U8 J11"""
+    """WL3 U8: bench_worklist has the whole list."""
     p = pairs(spark, d)
     full, control = F.size("a") >= 4, F.size(F.array_except(F.slice("b", 1, 1), F.col("a"))) == 0
     return p.groupBy((full & control).alias("settled"), (full & ~control).alias("recheck")).agg(F.count("*").alias("n"))
@@ -282,7 +284,7 @@ _WINDOWS = "w(version, s, e, season) AS (VALUES ('1996-01-01', '1996-01-01', '19
 
 SQL = {
     "side_appearance_usage": f"WITH {_ITEMS} SELECT p_brand AS entity, count(*) AS n FROM items GROUP BY 1",
-    "usage_identity": "SELECT CAST(0 AS BIGINT) AS gap",
+    "usage_identity": f"WITH {_SIDES}, u AS (SELECT entity, count(*) AS n FROM (SELECT unnest(characters) AS entity FROM sides) GROUP BY 1) SELECT CAST((SELECT sum(n) FROM u) - (SELECT sum(len(characters)) FROM sides) AS BIGINT) AS gap",
     "usage_by_era": f"WITH {_ITEMS} SELECT CAST({_SEASON} AS BIGINT) AS season, p_brand AS entity, count(*) AS n FROM items JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL",
     "era_totals": f"SELECT concat('S', {_SEASON}) AS era, count(*) AS n FROM orders GROUP BY 1",
     "patch_token_for_date": f"WITH {_WINDOWS}, o AS (SELECT {_DAY} AS day, {_SEASON} AS season FROM orders) SELECT CASE WHEN w.season = o.season THEN version ELSE concat('S', o.season) END AS token, count(*) AS n FROM o LEFT JOIN w ON day >= s AND (e IS NULL OR day < e) GROUP BY 1",
@@ -294,7 +296,7 @@ SQL = {
     "residue_top": "WITH x AS (SELECT p_partkey, trim(regexp_replace(regexp_replace(p_name, '(small ring|widget|bolt|ring|red)', ' ', 'g'), '\\s+', ' ', 'g')) AS residue FROM part), y AS (SELECT *, row_number() OVER (PARTITION BY residue ORDER BY p_partkey) AS rn FROM x WHERE residue != '') SELECT residue, count(*) AS n, min(p_partkey) AS example, string_agg(p_partkey, ',' ORDER BY p_partkey) FILTER (rn <= 5) AS ids FROM y GROUP BY 1 HAVING count(*) >= 3 ORDER BY n DESC, residue LIMIT 25",
     "iso_duration_seconds": "WITH q AS (SELECT CAST(floor(l_quantity) AS BIGINT) AS q FROM lineitem) SELECT CASE WHEN q % 7 = 0 THEN 0 WHEN q % 3 = 0 THEN q * 60 + 5 WHEN q % 2 = 0 THEN 3600 + q ELSE q END AS seconds, count(*) AS n FROM q GROUP BY 1",
     "slug_keys": "SELECT c_custkey, regexp_replace(regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') AS key FROM customer",
-    "bench_alignment": f"WITH {_PAIRS}, f AS (SELECT l_orderkey, len(a) > 0 AND len(b) > 0 AS straight, len(a) > 0 AND len(b) > 0 AND list_contains(b, a[1]) AND list_contains(a, b[1]) AS swapped FROM pairs) SELECT CASE WHEN l_orderkey % 5 = 0 THEN 'handle' WHEN straight AND NOT swapped THEN 'straight' WHEN swapped AND NOT straight THEN 'swapped' ELSE 'ambiguous' END AS how, count(*) AS n FROM f GROUP BY 1",
+    "bench_alignment": f"WITH {_PAIRS}, x AS (SELECT l_orderkey AS k, a[1] AS ta, b[1] AS tb, CASE WHEN l_orderkey % 3 = 1 THEN b ELSE a END AS ba, CASE WHEN l_orderkey % 3 = 1 THEN a ELSE b END AS bb FROM pairs), f AS (SELECT k, coalesce(list_contains(ba, ta) AND list_contains(bb, tb), false) AS straight, coalesce(list_contains(bb, ta) AND list_contains(ba, tb), false) AS swapped FROM x) SELECT CASE WHEN k % 5 = 0 THEN 'handle' WHEN straight AND NOT swapped THEN 'straight' WHEN swapped AND NOT straight THEN 'swapped' ELSE 'ambiguous' END AS how, count(*) AS n FROM f GROUP BY 1",
     "union_first_appearance": f"WITH {_PAIRS} SELECT l_orderkey, array_to_string(list_concat(a, list_filter(b, lambda x: NOT list_contains(a, x))), '|') AS merged, len(list_filter(a, lambda x: NOT list_contains(b, x))) > 0 AS conflict FROM pairs",
     "cross_tier_disagreement": f"WITH {_PAIRS}, e AS (SELECT l_orderkey, list_sort(list_filter(a, lambda x: NOT list_contains(b, x))) AS extra FROM pairs) SELECT l_orderkey, array_to_string(extra, '|') AS extra FROM e WHERE len(extra) > 0",
     "share_exactly_one": f"WITH {_PAIRS}, s AS (SELECT list_filter(a, lambda x: list_contains(b, x)) AS i FROM pairs) SELECT i[1] AS entity, count(*) AS n FROM s WHERE len(i) = 1 GROUP BY 1",
@@ -304,6 +306,10 @@ SQL = {
     "collapse_guard": "WITH c AS (SELECT event_type, count(*) FILTER (ts < '2024-01-16') AS before, count(*) FILTER (ts >= '2024-01-16' AND event_id % 5 != 0) AS after FROM events GROUP BY 1) SELECT *, before > 0 AND before - after > 20 AND (before - after) / before > 0.1 AS trips FROM c",
     "fk_violations": " UNION ALL ".join(f"SELECT '{n}' AS gate, count(*) AS n FROM {a} WHERE NOT EXISTS (SELECT 1 FROM {b} WHERE {x} = {y})" for n, a, b, x, y in [("order-customer", "orders", "customer", "o_custkey", "c_custkey"), ("customer-order", "customer", "orders", "c_custkey", "o_custkey"), ("line-part", "lineitem", "part", "l_partkey", "p_partkey"), ("line-supplier", "lineitem", "supplier", "l_suppkey", "s_suppkey"), ("line-order", "lineitem", "orders", "l_orderkey", "o_orderkey")]),
     "dupe_signature_pairs": "WITH x AS (SELECT doc_id, source, n_chars, split_part(text, chr(10), 1) AS sig FROM documents), y AS (SELECT *, lag(doc_id) OVER w AS prev_id, n_chars - lag(n_chars) OVER w AS delta, lag(source) OVER w AS prev_source FROM x WINDOW w AS (PARTITION BY sig ORDER BY n_chars, doc_id)) SELECT doc_id, prev_id, delta, least(source, prev_source) AS kept_source FROM y WHERE delta <= 1 AND source != prev_source",
+    "dupe_token_set_pairs": r"""WITH w AS (SELECT doc_id, source, n_chars, list_sort(list_distinct(list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda x: x != ''))) AS words FROM documents WHERE n_chars > 0),
+  x AS (SELECT doc_id, source, n_chars, array_to_string(words, ' ') AS sig, CASE source WHEN 'src2' THEN 0 WHEN 'src0' THEN 1 WHEN 'src1' THEN 2 ELSE 99 END AS place FROM w WHERE len(words) >= 2),
+  y AS (SELECT *, lag(doc_id) OVER v AS prev_id, n_chars - lag(n_chars) OVER v AS delta, lag(source) OVER v AS prev_source, lag(place) OVER v AS prev_place FROM x WINDOW v AS (PARTITION BY sig ORDER BY n_chars, doc_id))
+  SELECT doc_id, prev_id, delta, CASE WHEN prev_place <= place THEN prev_id ELSE doc_id END AS kept_id, CASE WHEN prev_place <= place THEN prev_source ELSE source END AS kept_source FROM y WHERE delta <= 1 AND source IS DISTINCT FROM prev_source""",
     "expiry_due": f"WITH o AS (SELECT *, {_DAY} AS day FROM orders WHERE o_orderstatus = 'O') SELECT 'cadence' AS kind, o_orderpriority AS id, max(day) AS date FROM o GROUP BY 2 HAVING date_diff('day', CAST(max(day) AS DATE), DATE '2001-07-01') > 21 UNION ALL SELECT 'order', CAST(o_orderkey AS VARCHAR), day FROM o WHERE o_totalprice > 400000 AND day <= '2001-07-01'",
     "content_digest": f"WITH o AS (SELECT {_SEASON} AS season, o_custkey, count(*) AS n FROM orders GROUP BY ALL), p AS (SELECT season, o_custkey % 64 AS shard, sha256(string_agg(o_custkey || ':' || n, chr(10) ORDER BY o_custkey)) AS h FROM o GROUP BY ALL) SELECT CAST(season AS BIGINT) AS season, left(sha256(string_agg(h, '' ORDER BY shard)), 12) AS digest, count(*) AS shards FROM p GROUP BY 1",
     "json_sorted_map": "WITH c AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL) SELECT o_orderstatus, string_agg(o_orderpriority || '=' || n, ',' ORDER BY o_orderpriority) AS counts FROM c GROUP BY 1",
@@ -313,4 +319,4 @@ SQL = {
     "entity_filter": f"SELECT CAST({_SEASON} AS BIGINT) AS season, count(*) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand IN ('Brand#1', 'Brand#12')) GROUP BY 1",
 }
 
-QUERIES = {name: globals()[name] for name in [*SQL, "dupe_token_set_pairs"]}
+QUERIES = {name: globals()[name] for name in SQL}

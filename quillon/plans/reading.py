@@ -147,6 +147,8 @@ def hashes(spark, d):
 
 _HASH = "h AS (SELECT vec_id, CAST(label AS BIGINT) AS label, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings)"
 _MAJORITY = f"{_HASH}, x AS (SELECT label, unnest(bits) AS bit, generate_subscripts(bits, 1) AS i FROM h), m AS (SELECT label, i, CASE WHEN 2 * sum(bit) >= count(*) THEN 1 ELSE 0 END AS bit FROM x GROUP BY ALL), tm AS (SELECT label, list(bit ORDER BY i) AS bits FROM m GROUP BY 1)"
+_KEYS = "['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD']"
+_NAMES = r"p AS (SELECT trim(regexp_replace(regexp_replace(upper(CASE p_size % 3 WHEN 0 THEN substr(p_type, 2, 1) || substr(p_type, 1, 1) || substr(p_type, 3) WHEN 1 THEN 'J' || p_type ELSE p_type END), '[^A-Z .\-]', '', 'g'), ' +', ' ', 'g')) AS seen FROM part)"
 _LED = """h AS (SELECT vec_id, CAST(label AS BIGINT) AS label, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END), '')::BIT AS h FROM embeddings),
   x AS (SELECT label, list({'id': vec_id, 'h': h} ORDER BY vec_id) AS xs FROM h GROUP BY 1),
   l AS (SELECT label, list_reduce(xs, lambda a, x: CASE WHEN len(list_filter(a, lambda y: bit_count(xor(y.h, x.h)) <= 24)) > 0 THEN a ELSE list_append(a, x) END, [xs[1]]) AS ls FROM x),
@@ -196,7 +198,17 @@ def decoded(seen: DataFrame, keys: list[str], lead: int = 3, trail: int = 4) ->
     size = F.char_length("seen")
     trim = lambda i, j: F.trim(F.substring(F.col("seen"), F.lit(i + 1), F.greatest(F.lit(0), size - i - j)))
     trims = F.array_distinct(F.filter(F.array(*(trim(i, j) for i in range(lead + 1) for j in range(trail + 1))), lambda x: F.char_length(x) >= 3))
-    tried = seen.select("seen", F.posexplode(trims).alias("at", "trim")).select("*", F.inline(listed)).withColumn("dist", osa("trim", "key").cast("long"))
+    # Swaps save at most half of plain edits, so these bound the distance from both sides: a trim, and then
+    # a key, that cannot be among the best two is not tried, and up to one edit both agree.
+    plain = F.levenshtein("trim", "key").cast("long")
+    tried = seen.select("seen", F.posexplode(trims).alias("at", "trim")).select("*", F.inline(listed)).withColumn("plain", plain)
+    tried = tried.withColumn("most", F.min("plain").over(Window.partitionBy("seen", "key"))).where(F.ceil(F.col("plain") / 2) <= F.col("most"))
+    keys_ = tried.groupBy("seen", "key").agg(F.first("most").alias("most"), F.min(F.ceil(F.col("plain") / 2)).alias("least"))
+    bar = keys_.groupBy(F.col("seen").alias("_seen")).agg(F.coalesce(F.get(F.array_sort(F.collect_list("most")), F.lit(1)), F.max("most")).alias("bar"))
+    kept = keys_.join(bar, F.col("seen") == F.col("_seen")).where("least <= bar").select("seen", "key")
+    tried = tried.join(kept, ["seen", "key"], "left_semi")
+    near = tried.where("plain <= 1").withColumn("dist", F.col("plain"))
+    tried = near.unionByName(tried.where("plain > 1").withColumn("dist", osa("trim", "key").cast("long")))
     best = tried.groupBy("seen", "key", "radius").agg(F.min(F.struct("dist", "at", F.char_length("trim").alias("len"))).alias("b"))
     ranked = best.groupBy("seen").agg(F.array_sort(F.collect_list(F.struct("b.dist", "key", "radius", "b.len"))).alias("r")).withColumns({"top": F.get("r", F.lit(0)), "next": F.get("r", F.lit(1))})
     within = ranked.where(F.col("top.dist") <= F.least(F.col("top.radius"), F.greatest(F.lit(1), F.floor(F.col("top.len") / 4 + 0.5))))
@@ -233,8 +245,13 @@ SQL = {
     "majority_hash": f"WITH {_MAJORITY} SELECT tm.label, (SELECT count(*) FROM h WHERE h.label = tm.label) AS n, CAST(list_sum(bits) AS BIGINT) AS ones FROM tm",
     "nearest_template": f"WITH {_MAJORITY}, d AS (SELECT vec_id, h.label AS label, tm.label AS tl, list_sum(list_transform(list_zip(h.bits, tm.bits), lambda x: CASE WHEN x[1] != x[2] THEN 1 ELSE 0 END)) AS dist FROM h, tm), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, tl) AS k FROM d) SELECT label, count(*) FILTER (k = 1 AND label = tl) AS right, CAST(sum(dist) FILTER (k = 1) AS BIGINT) AS dist, CAST(sum(dist) FILTER (k = 2) - sum(dist) FILTER (k = 1) AS BIGINT) AS margin FROM k GROUP BY 1",
     "hamming_neighbours": f"WITH {_HASH}, l AS (SELECT vec_id, bits, lag(bits) OVER (PARTITION BY label ORDER BY vec_id) AS before FROM h) SELECT vec_id, CAST(list_sum(list_transform(list_zip(bits, before), lambda x: CASE WHEN x[1] != x[2] THEN 1 ELSE 0 END)) AS BIGINT) AS dist FROM l WHERE before IS NOT NULL",
+    "osa_fuzzy_match": f"""WITH {_NAMES}, n AS (SELECT seen, count(*) AS n FROM p GROUP BY 1), k AS (SELECT unnest({_KEYS}) AS key), kr AS (SELECT a.key, greatest(0, (min(damerau_levenshtein(a.key, b.key)) - 1) // 2) AS radius FROM k a JOIN k b ON a.key != b.key GROUP BY 1),
+  t AS (SELECT seen, tr, min(i * 5 + j) AS pos FROM (SELECT seen, i, j, trim(substr(seen, CAST(i + 1 AS BIGINT), CAST(greatest(0, length(seen) - i - j) AS BIGINT))) AS tr FROM n, range(4) a(i), range(5) b(j)) WHERE length(tr) >= 3 GROUP BY ALL),
+  d AS (SELECT seen, key, radius, min([damerau_levenshtein(tr, key), pos, length(tr)]::BIGINT[]) AS b FROM t, kr GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER w AS place, lead(b[1]) OVER w - b[1] AS margin FROM d WINDOW w AS (PARTITION BY seen ORDER BY b[1], key))
+  SELECT n.seen, n.n, r.key, r.b[1] AS dist, r.margin FROM n LEFT JOIN r ON r.seen = n.seen AND place = 1 AND r.b[1] <= least(radius, greatest(1, CAST(floor(r.b[3] / 4 + 0.5) AS BIGINT)))""",
     "leader_clusters": f"WITH {_LED} SELECT label, count(DISTINCT leader) AS groups, count(*) AS n FROM g GROUP BY 1",
     "leader_sizes": f"WITH {_LED}, c AS (SELECT label, leader, count(*) AS n FROM g GROUP BY ALL), s AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, leader) - 1 AS place FROM c) SELECT label, count(*) AS groups, CAST(sum(n) AS BIGINT) AS n, round(sum(n) FILTER (place < 3) / sum(n), 6) AS share, arg_min(leader, place) AS largest FROM s GROUP BY 1 HAVING sum(n) >= 12",
 }
 
-QUERIES = {name: globals()[name] for name in [*SQL, "osa_fuzzy_match"]}
+QUERIES = {name: globals()[name] for name in SQL}

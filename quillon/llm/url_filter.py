@@ -6,9 +6,11 @@ links, distrust flows from hosts with blocked pages against the links, and a hos
 where its share of all distrust exceeds its share of all trust by more than rounding (SLACK).
 Edges are the links between hosts that have pages and those of the domain tree (kin), by which
 hosts of one domain are judged together even where all their links are relative. The ranks are sums over walks
-of every length from the seeds; rounds add the next length until no host's rank still grows
-by more than TOLERANCE of itself, so that hosts far from every seed, whose shares are small,
-are judged on settled shares too.
+of every length from the seeds; rounds add the next length. For verdicts they end when none can
+change any more: no host was newly reached, and what is still open of either mass, which is bounded by the
+last round's share, is too little to turn which of a host's two shares is larger, or the
+host's ranks do not grow any more by more than TOLERANCE of themselves (ties). Hosts far from every
+seed, whose shares are small, so keep the rounds going until their verdicts are settled too.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 DAMPING = 0.85
-#: Growth of a rank between two cuts, as a part of it, that counts as none. There is no limit on rounds.
+#: What is open of a rank, as a part of it, that counts as nothing. There is no limit on rounds.
 TOLERANCE = 1e-6
 #: Rounds in one plan: more make fewer tables and checks, of longer plans.
 ROUNDS_A_CUT = 8
@@ -77,9 +79,11 @@ def kin(hosts: DataFrame) -> DataFrame:
     return up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).withColumn("n", F.lit(1).cast("long"))
 
 
-def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, tolerance: float = TOLERANCE) -> DataFrame:
+def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, tolerance: float = TOLERANCE, threshold: float | None = None) -> DataFrame:
     """(host, trust, distrust) of every host of a page and every domain above one: shares that sum
-    to one over all of them."""
+    to one over all of them. With a threshold rounds end as soon as it is settled for every host whether
+    distrust exceeds so many times its trust; without, when all ranks are. Links to hosts without a page
+    carry nothing: such hosts have no verdict, and no page of theirs could pass anything on."""
     judged = pages.select("page_host", rule_of(F.col("page_host"), F.col("page_path"), rules, 2).alias("v"))
     seeds = judged.groupBy("page_host").agg(F.sum((F.col("v") == "allow").cast("long")).alias("good"), F.sum((F.col("v") == "block").cast("long")).alias("bad"))
     seeds = cut(seeds.select(F.col("page_host").alias("host"), F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("bad", F.lit(0)).alias("bad")), "hosts")
@@ -102,32 +106,55 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, tol
 
     if steps.isEmpty():
         return start.select("host", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
-    # walks of no step; each round adds those of one step more, so no rank ever falls
-    base = cut(start.select("host", ((1 - DAMPING) * F.col("t0")).alias("trust"), ((1 - DAMPING) * F.col("d0")).alias("distrust")), "start")
-    now = base
-    grows = lambda c: F.col(c) - F.col(f"{c}_old") > F.lit(tolerance) * F.col(c)
-    growing = True
-    while growing:
-        old = now
+    # walks of no step; each round adds those of one step more (the *_in), so no rank ever falls
+    base = start.select("host", ((1 - DAMPING) * F.col("t0")).alias("trust"), ((1 - DAMPING) * F.col("d0")).alias("distrust"))
+    base = cut(base.select("*", F.lit(0.0).alias("trust_in"), F.lit(0.0).alias("distrust_in")), "start")
+    now, last = base.withColumns({"trust_in": F.col("trust"), "distrust_in": F.col("distrust")}), None
+    while True:
         for _ in range(ROUNDS_A_CUT):
-            moved = steps.join(now, F.col("from") == F.col("host")).select(F.col("to").alias("host"), (DAMPING * F.col("trust") * F.col("t")).alias("trust"), (DAMPING * F.col("distrust") * F.col("d")).alias("distrust"))
-            now = base.unionByName(moved).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            passed = {c: DAMPING * F.col(c) * F.col(c[0]) for c in ("trust", "distrust", "trust_in", "distrust_in")}
+            moved = steps.join(now, F.col("from") == F.col("host")).select(F.col("to").alias("host"), *(v.alias(c) for c, v in passed.items()))
+            now = base.unionByName(moved).groupBy("host").agg(*(F.sum(c).alias(c) for c in passed))
         now = cut(now, "ranks")
-        before = old.select(F.col("host").alias("h_old"), F.col("trust").alias("trust_old"), F.col("distrust").alias("distrust_old"))
-        growing = not now.join(before, F.col("host") == F.col("h_old")).where(grows("trust") | grows("distrust")).isEmpty()
-        if old is not base:
-            drop_cuts(old)
+        if last is not None:
+            drop_cuts(last)
+        if _settled(now, tolerance, threshold):
+            break
+        last = now
     total = now.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
     return now.select("host", (F.col("trust") / F.lit(total["t"] or 1.0)).alias("trust"), (F.col("distrust") / F.lit(total["d"] or 1.0)).alias("distrust"))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, threshold: float = 1.0) -> DataFrame:
-    """pages without the html, with host, path, rule, verdict, trust and distrust. A null url
+def _settled(ranks: DataFrame, tolerance: float, threshold: float | None) -> bool:
+    """Whether no further round is needed. What can still come to a host is at most what all hosts got in
+    the last round, passed on for ever; and where no host was reached for the first time, none will be."""
+    names = ("trust", "distrust", "trust_in", "distrust_in")
+    new = F.count_if(((F.col("trust_in") > 0) & (F.col("trust_in") == F.col("trust"))) | ((F.col("distrust_in") > 0) & (F.col("distrust_in") == F.col("distrust"))))
+    sums = ranks.agg(*(F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in names), new.alias("new")).first()
+    if sums["new"]:
+        return False
+    ahead = DAMPING / (1 - DAMPING)
+    grows = (F.col("trust_in") * ahead > tolerance * F.col("trust")) | (F.col("distrust_in") * ahead > tolerance * F.col("distrust"))
+    if threshold is not None:
+        t, d = F.col("trust"), F.col("distrust")
+        open_t, open_d = sums["trust_in"] * ahead, sums["distrust_in"] * ahead
+        total_t, total_d = sums["trust"] or 1.0, sums["distrust"] or 1.0
+        least_d, most_d = d / (total_d + open_d), F.when(d > 0, (d + open_d) / total_d).otherwise(0.0)
+        least_t, most_t = t / (total_t + open_t), F.when(t > 0, (t + open_t) / total_t).otherwise(0.0)
+        bar = threshold * (1 + SLACK)
+        sure = (least_d > bar * most_t) | (most_d <= bar * least_t)
+        grows = grows & ~sure
+    return ranks.where(grows).isEmpty()
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, threshold: float = 1.0, ranks: bool = True) -> DataFrame:
+    """pages without the html, with host, path, rule, verdict, trust and distrust. Without ranks the rounds end
+    when verdicts are settled: trust and distrust are then as far as that took. A null url
     or one without `://` has neither host nor path, fits no rule and is allowed, as are hosts
     that neither trust nor distrust reaches. Repeated rows are judged alike."""
     own = [c for c in pages.columns if c not in ("html", "host", "path", "rule", "verdict", "trust", "distrust")]
     read = pages.select(*(F.col(f"`{c}`") for c in own), *(["html"] if "html" in pages.columns else [F.lit(None).cast("string").alias("html")]), host_of("url").alias("page_host"), path_of("url").alias("page_path"))
-    scores = host_scores(read, rules)
+    scores = host_scores(read, rules, threshold=None if ranks else threshold)
     found = read.drop("html").join(scores, F.col("page_host") == F.col("host"), "left")
     host, path = F.col("page_host"), F.col("page_path")
     spread = F.when(F.col("page_host") == "", F.lit("allow")).when(F.coalesce("distrust", F.lit(0.0)) > F.lit(threshold * (1 + SLACK)) * F.coalesce("trust", F.lit(0.0)), F.lit("block")).otherwise("allow")
@@ -135,4 +162,4 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, threshold
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    return judge(pages.select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+    return judge(pages.select("page_id", "url", "html"), ranks=False).select("page_id", "host", "path", "rule", "verdict")

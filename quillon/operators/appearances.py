@@ -27,7 +27,3 @@ def usage_gap(sides: DataFrame, entities: str = "characters") -> DataFrame:
 def oversize(limit: int = 4, entities: str = "characters") -> Column:
     return F.count_if(F.size(entities) > limit)
 
-
-def signature(sides: Column) -> Column:
-    """The same for any order of the sides and of the entities on them."""
-    return F.array_join(F.array_sort(F.transform(sides, lambda s: F.array_join(F.array_sort(s), "+"))), "~")

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.operators.ordering import null_safe
+from quillon.sources.shared import stored
+
 
 def ranked_value(df: DataFrame, keys: list[str], value: str, place: Column, name: str) -> DataFrame:
     """keys and the value at the given place (from 0; `n` is the group's size) of each sorted
     group. Equal values are counted first and places found by sums of counts, so a group is
     never gathered in one array."""
-    from pyspark.sql import Window
-
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     upto = counts.withColumn("_to", F.sum("_c").over(Window.partitionBy(*keys).orderBy(value))).withColumn("n", F.sum("_c").over(Window.partitionBy(*keys)))
     return upto.where((F.col("_to") > place) & (F.col("_to") - F.col("_c") <= place)).select(*keys, F.col(value).alias(name))
 
 
+def ranged_value(df: DataFrame, keys: list[str], value: str, place: Column, name: str) -> DataFrame:
+    """As ranked_value, for groups of any size: counts by value are cut into ranges, sums by range say which
+    one holds the place, and that range alone is summed up in order. No group is in one task."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    parts = stored(counts.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = parts.groupBy(*keys, "_part").agg(F.sum("_c").alias("_own"))
+    group = Window.partitionBy(*keys)
+    sums = sums.withColumn("_to", F.sum("_own").over(group.orderBy("_part"))).withColumn("n", F.sum("_own").over(group)).withColumn("_place", place)
+    held = sums.where((F.col("_to") > F.col("_place")) & (F.col("_to") - F.col("_own") <= F.col("_place")))
+    rows = parts.alias("r").join(held.alias("h"), null_safe("r", "h", [*keys, "_part"]))
+    rows = rows.select(*(F.col(f"r.{k}") for k in keys), F.col(f"r.{value}").alias(name), "r._c", (F.col("h._place") - F.col("h._to") + F.col("h._own")).alias("_left"))
+    rows = rows.withColumn("_sum", F.sum("_c").over(Window.partitionBy(*keys).orderBy(name)))
+    return rows.where((F.col("_sum") > F.col("_left")) & (F.col("_sum") - F.col("_c") <= F.col("_left"))).select(*keys, name)
+
+
 def upper_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return ranked_value(df, keys, value, F.floor(F.col("n") / 2), "median")
 
@@ -44,5 +60,5 @@ def bucket(value: Column, edges: list[float]) -> Column:
     """Number of edges at or below the value."""
     out = F.lit(0)
     for i, edge in enumerate(edges, 1):
-        out = F.when(value >= edge, i).otherwise(out) if i == 1 else F.when(value >= edge, i).otherwise(out)
+        out = F.when(value >= edge, i).otherwise(out)
     return out.cast("long")

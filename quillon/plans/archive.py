@@ -28,6 +28,12 @@ def sides(spark: SparkSession, d: str) -> DataFrame:
     return items.groupBy("l_orderkey", (F.col("l_linenumber") % 2).cast("long").alias("side")).agg(ap.in_order("l_linenumber", "p_brand").alias("characters"))
 
 
+def appearances(spark: SparkSession, d: str) -> DataFrame:
+    """order, side and entity, each once. Lines are dealt by order, which is all that what follows by order needs."""
+    items = t(spark, d, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).cast("long").alias("side")).join(t(spark, d, "part").select("p_partkey", F.col("p_brand").alias("entity")), F.col("l_partkey") == F.col("p_partkey"))
+    return items.select("l_orderkey", "side", "entity").repartition("l_orderkey").distinct()
+
+
 _ITEMS = "items AS (SELECT l_orderkey, CAST(l_linenumber % 2 AS BIGINT) AS side, p_brand, min(l_linenumber) AS pos FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"
 _DAY = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
 _SEASON = f"CASE WHEN {_DAY} >= '1996-01-01' AND {_DAY} < '1998-01-01' THEN 1 WHEN {_DAY} >= '1998-01-01' AND {_DAY} < '2000-01-01' THEN 2 WHEN {_DAY} >= '2000-01-01' THEN 3 ELSE 0 END"
@@ -36,7 +42,7 @@ _SIDES = f"{_ITEMS}, sides AS (SELECT l_orderkey, side, list(p_brand ORDER BY po
 
 def side_appearance_usage(spark, d):
     """A1 A6"""
-    return ap.usage(sides(spark, d))
+    return appearances(spark, d).groupBy("entity").agg(F.count("*").alias("n"))
 
 
 def usage_identity(spark, d):
@@ -51,8 +57,8 @@ def orders(spark, d):
 
 def usage_by_era(spark, d):
     """A2 J5"""
-    dated = sides(spark, d).join(orders(spark, d).select("o_orderkey", "season"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return ap.usage(dated, "season")
+    dated = appearances(spark, d).join(orders(spark, d).select("o_orderkey", "season"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return dated.groupBy("season", "entity").agg(F.count("*").alias("n"))
 
 
 def era_totals(spark, d):
@@ -68,8 +74,8 @@ def patch_token_for_date(spark, d):
 
 def player_entity_matrix(spark, d):
     """A3"""
-    owned = sides(spark, d).join(t(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    used = ap.usage(owned, "o_custkey")
+    owned = appearances(spark, d).join(t(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    used = owned.groupBy("o_custkey", "entity").agg(F.count("*").alias("n"))
     return t(spark, d, "customer").select("c_custkey").join(used, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "entity", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
@@ -133,10 +139,11 @@ def slug_keys(spark, d):
 
 
 def pairs(spark, d):
-    """The two sides of an order, absent ones empty."""
-    s = sides(spark, d)
-    side = lambda k: F.coalesce(F.first(F.when(F.col("side") == k, F.col("characters")), True), F.array().cast("array<string>"))
-    return s.groupBy("l_orderkey").agg(side(0).alias("a"), side(1).alias("b"))
+    """The two sides of an order in order of first line, absent ones empty: two lists of one grouping."""
+    items = t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber").join(t(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    side = lambda k: F.collect_list(F.when(F.col("l_linenumber") % 2 == k, F.struct("l_linenumber", "p_brand")))
+    named = lambda c: F.array_distinct(F.transform(F.array_sort(c), lambda x: x["p_brand"])).alias(c)
+    return items.groupBy("l_orderkey").agg(side(0).alias("a"), side(1).alias("b")).select("l_orderkey", named("a"), named("b"))
 
 
 _PAIRS = f"{_SIDES}, pairs AS (SELECT l_orderkey, coalesce(any_value(characters) FILTER (side = 0), []) AS a, coalesce(any_value(characters) FILTER (side = 1), []) AS b FROM sides GROUP BY 1)"
@@ -256,9 +263,10 @@ def json_sorted_map(spark, d):
 
 def worklist_rarity(spark, d):
     """template_worklist has the order."""
-    p = pairs(spark, d).where((F.size("a") >= 2) & (F.size("b") >= 2))
-    freq = p.select(F.explode("a").alias("entity")).groupBy("entity").agg(F.count("*").alias("f"))
-    return p.select("l_orderkey", F.explode("a").alias("entity")).join(freq, "entity").groupBy("l_orderkey").agg(F.min("f").alias("rarity"), F.count("*").alias("candidates"))
+    one = F.collect_list(F.when(F.col("side") == 0, F.col("entity")))
+    p = appearances(spark, d).groupBy("l_orderkey").agg(one.alias("a"), F.count_if(F.col("side") == 1).alias("n")).where((F.size("a") >= 2) & (F.col("n") >= 2)).select("l_orderkey", F.explode("a").alias("entity"))
+    freq = p.groupBy(F.col("entity").alias("of")).agg(F.count("*").alias("f"))
+    return p.join(freq, F.col("entity") == F.col("of")).groupBy("l_orderkey").agg(F.min("f").alias("rarity"), F.count("*").alias("candidates"))
 
 
 def settled_worklist(spark, d):

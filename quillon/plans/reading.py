@@ -11,6 +11,7 @@ from quillon.operators import hashing as hs
 from quillon.operators import measure as ms
 from quillon.operators import reads as rd
 from quillon.operators import text as tx
+from quillon.sources.shared import stored
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -86,12 +87,12 @@ def far_apart_pair(spark, d):
 
 def upper_median(spark, d):
     """A23"""
-    return ms.upper_median(t(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice")
+    return ms.ranged_value(t(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", F.floor(F.col("n") / 2), "median")
 
 
 def floor_quantile(spark, d):
     """A24"""
-    return ms.floor_quantile(t(spark, d, "lineitem"), ["l_returnflag"], "l_quantity", 0.9)
+    return ms.ranged_value(t(spark, d, "lineitem"), ["l_returnflag"], "l_quantity", F.least(F.col("n") - 1, F.floor(F.lit(0.9) * F.col("n"))), "quantile")
 
 
 def bucket_histogram(spark, d):
@@ -163,7 +164,7 @@ def majority_hash(spark, d):
 
 def nearest_template(spark, d):
     """J13 F10"""
-    h = hashes(spark, d)
+    h = stored(hashes(spark, d), "hashes")
     near = hs.nearest(h, "hash", hs.majority(h, ["label"], "hash"))
     return near.groupBy("label").agg(F.count_if(F.col("label") == F.col("near_label")).alias("right"), F.sum("dist").alias("dist"), F.sum("margin").alias("margin"))
 

@@ -6,7 +6,8 @@ one pattern. Each document's normalised words are scanned once, and hits are map
 to offsets in the original text.
 
 The benchmark travels to the executors in blocks of bounded size: one block, and so one
-automaton, in the usual case, else one pass of the same scan for each block.
+automaton, in the usual case. A larger one is searched block after block, each in a job of its own over the
+texts, of which only texts with hits come back, as a table; so a worker and the driver never hold more than one block.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.llm.common import cut, text_or_empty
+
 WINDOW = 13
 #: Bytes of benchmark text that one automaton holds: about 560 MB of memory in a worker.
 BLOCK_BYTES = 4 << 20
@@ -96,8 +100,9 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
         yield sorted((r["id"], r["text"]) for r in part.collect())
 
 
-def _searched(text: Column, items: list[tuple[str, str]], window: int) -> Column:
-    """n_words, hits and ids of a text. Only texts go to Python and only this comes back."""
+def _searched(text: Column, items: list[tuple[str, str]], window: int, once: bool = False) -> Column:
+    """n_words, hits and ids of a text. Only texts go to Python and only this comes back. once: a
+    filter on it must not make a second evaluation."""
 
     @F.pandas_udf(f"n_words bigint, hits {_HITS}, ids array<string>")
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -110,7 +115,17 @@ def _searched(text: Column, items: list[tuple[str, str]], window: int) -> Column
                 rows.append((len(words), [{"first": x, "last": y} for x, y in runs], sorted(found)))
             yield pd.DataFrame(rows, columns=["n_words", "hits", "ids"])
 
-    return search(text)
+    return (search.asNondeterministic() if once else search)(text)
+
+
+def _elsewhere(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
+    """key (a hash of the text), hits and ids of the texts that a further block hits."""
+    found = docs.select(_key("text"), _searched(F.col("text"), items, window, once=True).alias("b")).where(F.size("b.hits") > 0)
+    return cut(found.select("key", "b.hits", "b.ids").dropDuplicates(["key"]), "hits")
+
+
+def _key(text: str) -> Column:
+    return F.sha2(text_or_empty(text), 256).alias("key")
 
 
 def _joined(hits: pd.Series) -> pd.Series:
@@ -129,14 +144,17 @@ def _places(texts: pd.Series, hits: pd.Series) -> pd.Series:
 
 def _found(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """row (all of the document), n_words, hits, items, n_hit and contaminated."""
-    blocks = [_searched(F.col("row.text"), items, window) for items in _blocks(benchmark)]
-    found = docs.select(F.struct("*").alias("row")).select("row", *(b.alias(f"b{k}") for k, b in enumerate(blocks)))
-    hits, items = F.col("b0.hits"), F.col("b0.ids")
-    if len(blocks) > 1:
-        names = [F.col(f"b{k}") for k in range(len(blocks))]
-        hits = F.pandas_udf(_joined, _HITS)(F.flatten(F.array(*(x["hits"] for x in names))))
-        items = F.array_sort(F.array_distinct(F.flatten(F.array(*(x["ids"] for x in names)))))
-    found = found.select("row", F.col("b0.n_words").alias("n_words"), hits.alias("hits"), items.alias("items"))
+    blocks = _blocks(benchmark)
+    found = docs.select(F.struct("*").alias("row")).select("row", _searched(F.col("row.text"), next(blocks), window).alias("b"))
+    hits, items = F.col("b.hits"), F.col("b.ids")
+    more = [_elsewhere(docs, block, window) for block in blocks]
+    if more:
+        rest = reduce(DataFrame.unionByName, more).groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("more_hits"), F.flatten(F.collect_list("ids")).alias("more_ids"))
+        found = found.withColumn("key", _key("row.text")).join(rest, "key", "left")
+        also = lambda one, other, kind: F.concat(one, F.coalesce(F.col(other), F.array().cast(kind)))
+        hits = F.pandas_udf(_joined, _HITS)(also(hits, "more_hits", _HITS))
+        items = F.array_sort(F.array_distinct(also(items, "more_ids", "array<string>")))
+    found = found.select("row", F.col("b.n_words").alias("n_words"), hits.alias("hits"), items.alias("items"))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x["last"] - x["first"] + 1)
     return found.withColumn("n_hit", n_hit).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 

@@ -170,9 +170,16 @@ def _probed(nodes: DataFrame, matched: DataFrame) -> DataFrame:
     return both.groupBy(F.greatest("x.lid", "y.lid").alias("a"), F.least("x.lid", "y.lid").alias("b")).agg(shared.alias("k")).where(F.col("k") >= SHARED).select("a", "b")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _repeats(docs: DataFrame) -> bool:
+    """Whether rows repeat id and text."""
+    rows = docs.groupBy("doc_id", F.xxhash64("text").alias("th")).agg(F.count("*").alias("n"))
+    return not rows.where("n > 1").isEmpty()
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, repeats: bool) -> DataFrame:
     """The lid of each pair's later line, where the sets' Jaccard is 0.8 or more. The sets are
-    read again from the texts; a fixed table of bits keeps most other lines from the join."""
+    read again from the texts; a fixed table of bits keeps most other lines from the join. Where rows
+    repeat, a line's set is there as often, and one of them is kept."""
     c = F.col
     lids = pairs.select(c("a").alias("wanted")).unionByName(pairs.select(c("b").alias("wanted"))).distinct()
     wanted = cut(nodes.join(lids, c("lid") == c("wanted"), "left_semi").select("lid", "first"), "wanted")
@@ -181,6 +188,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     lines = _split(docs).where(has_bit(seen, at("")))
     same = c("doc_id").eqNullSafe(c("first.doc_id")) & (c("th") == c("first.th")) & (c("line_no") == c("first.line_no"))
     sets = lines.join(wanted, same).select("lid", "first", _hashes("line").alias("h"))
+    sets = sets.dropDuplicates(["lid"]) if repeats else sets
     one = sets.select(c("lid").alias("a"), c("first").alias("fa"), c("h").alias("ha"))
     two = sets.select(c("lid").alias("b"), c("first").alias("fb"), c("h").alias("hb"))
     both = pairs.join(one, "a").join(two, "b")
@@ -194,11 +202,12 @@ def find(docs: DataFrame) -> DataFrame:
     """l1, l2, first of the distinct lines that are repeated or have an earlier match, and
     `matched`: the latter."""
     docs = docs.select("doc_id", "text")
+    repeats = _repeats(docs)
     nodes = _nodes(docs)
     near = cut(_variants(nodes), "near")
-    matched = _verified(docs, nodes, near)
+    matched = _verified(docs, nodes, near, repeats)
     pairs = cut(_probed(nodes, matched), "pairs")
-    more = _verified(docs, nodes, pairs)
+    more = _verified(docs, nodes, pairs, repeats)
     drop_cuts(near, pairs)
     hits = matched.unionByName(more).select(F.col("lid").alias("hit")).distinct()
     found = nodes.select("lid", "l1", "l2", "first", "copies").join(hits, F.col("lid") == F.col("hit"), "left").where("hit is not null or copies > 1")

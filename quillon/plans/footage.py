@@ -108,11 +108,18 @@ def _mul(x: str, y: str) -> str:
     return f"(({x})::HUGEINT * ({y})::HUGEINT % {_U32})::BIGINT"
 
 
-_DRAWN = f"""n AS (SELECT count(*) AS n FROM documents),
-  d0 AS (SELECT i, ({SEED} + i::HUGEINT * {od.STEP}) % {_U32} AS a FROM n, range(1, n.n) t(i)),
+def shuffle_sql(rows: str, seed: int) -> str:
+    """CTEs, the last of them w (doc_id, place): the rows (doc_id) after the swaps, one after the other."""
+    return f"""src AS ({rows}), n AS (SELECT count(*) AS n FROM src),
+  d0 AS (SELECT i, ({seed} + i::HUGEINT * {od.STEP}) % {_U32} AS a FROM n, range(1, n.n) t(i)),
   d1 AS (SELECT i, {_mul('xor(a::BIGINT, a::BIGINT >> 15)', '(a::BIGINT | 1)')} AS t FROM d0),
   d2 AS (SELECT i, xor((t + {_mul('xor(t, t >> 7)', '(t | 61)')}) % {_U32}, t) AS t FROM d1),
-  u AS (SELECT i, xor(t, t >> 14)::DOUBLE / {_U32} AS u FROM d2)"""
+  u AS (SELECT i, xor(t, t >> 14)::DOUBLE / {_U32} AS u FROM d2),
+  s AS (SELECT (SELECT n FROM n) - i AS i, CAST(floor(u * ((SELECT n FROM n) - i + 1)) AS BIGINT) AS j FROM u),
+  sw AS (SELECT (SELECT n FROM n) - 1 AS i, (SELECT list(doc_id ORDER BY doc_id) FROM src) AS a
+    UNION ALL SELECT sw.i - 1, list_concat(a[:s.j], [a[sw.i + 1]], a[s.j + 2:sw.i], CASE WHEN s.j < sw.i THEN [a[s.j + 1]] ELSE [] END, a[sw.i + 2:]) FROM sw JOIN s ON s.i = sw.i),
+  w AS (SELECT unnest(a) AS doc_id, generate_subscripts(a, 1) - 1 AS place FROM sw WHERE i = 0)"""
+
 
 QUERIES = {f.__name__: f for f in (thinned_reads, spread_reads, top_peaks, middle_read, systematic_sample, top_per_group, newest_first, taken_in_turn, seeded_shuffle, runner_up_margin, legible_pool, earliest_within, expected_rank)}
 
@@ -134,10 +141,7 @@ SQL = {
     "newest_first": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderpriority, o_orderkey) - 1 AS place FROM orders",
     "taken_in_turn": """WITH x AS (SELECT doc_id, coalesce(source, '?') AS source, coalesce(lang, '?') AS lang FROM documents), y AS (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS t FROM x),
   z AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY t, lang, doc_id) AS m FROM y) SELECT doc_id, source, lang, row_number() OVER (ORDER BY m, source) - 1 AS place FROM z""",
-    "seeded_shuffle": f"""WITH RECURSIVE {_DRAWN}, s AS (SELECT (SELECT n FROM n) - i AS i, CAST(floor(u * ((SELECT n FROM n) - i + 1)) AS BIGINT) AS j FROM u),
-  w AS (SELECT (SELECT n FROM n) - 1 AS i, (SELECT list(doc_id ORDER BY doc_id) FROM documents) AS a
-  UNION ALL SELECT w.i - 1, list_concat(a[:s.j], [a[w.i + 1]], a[s.j + 2:w.i], CASE WHEN s.j < w.i THEN [a[s.j + 1]] ELSE [] END, a[w.i + 2:]) FROM w JOIN s ON s.i = w.i)
-  SELECT unnest(a) AS doc_id, generate_subscripts(a, 1) - 1 AS place FROM w WHERE i = 0""",
+    "seeded_shuffle": f"WITH RECURSIVE {shuffle_sql('SELECT doc_id FROM documents', SEED)} SELECT doc_id, place FROM w",
     "runner_up_margin": f"""WITH {_READS}, x AS (SELECT user_id, CAST(floor(sec / 1440) AS BIGINT) AS day, id, min(dist) AS dist FROM r WHERE id IS NOT NULL GROUP BY ALL),
   y AS (SELECT *, row_number() OVER w AS k, lead(dist) OVER w - dist AS margin FROM x WINDOW w AS (PARTITION BY user_id, day ORDER BY dist, id)) SELECT user_id, day, id AS best, dist, margin FROM y WHERE k = 1""",
     "legible_pool": f"""WITH {_READS}, x AS (SELECT user_id, CAST(floor(sec / 1440) AS BIGINT) AS day, sec, bool_or(dist = 0 AND id IS NOT NULL) AS clean FROM r GROUP BY ALL),

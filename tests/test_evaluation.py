@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.operators import hashing, holdout, moments, ownership, pairs, subsets
+from quillon.operators import hashing, holdout, moments, ownership, pairs, reach, subsets
 
 WORD = (1 << 64) - 1
 
@@ -187,3 +187,24 @@ def test_moments(spark, monkeypatch):
                 n, mean, variance = found[key, i]
                 assert n == len(own) and abs(mean - own[:, i].mean()) < 1e-6 and abs(variance - own[:, i].var()) < 1e-6 * max(1, own[:, i].var())
     assert moments.element_moments(df.where("false"), "key", "v").collect() == []
+
+
+@pytest.mark.parametrize("bits, radius", [(64, 7), (64, 0), (32, 3), (40, 10)])
+def test_close_pairs(spark, bits, radius):
+    r = random.Random(bits + radius)
+    hashes = []
+    for _ in range(25):
+        h = r.getrandbits(bits)
+        for n in range(6):
+            hashes.append(h)
+            for _ in range(n):
+                h ^= 1 << r.randrange(bits)
+    hashes += hashes[:1] * 500 + [0, (1 << bits) - 1]
+    rows = [(f"g{k % 2}" if k % 5 else None, signed(h)) for k, h in enumerate(hashes)]
+    df = spark.createDataFrame([*rows, ("g0", None)], "g string, h bigint").repartition(5)
+    close = reach.close_pairs(df, "h", radius, bits)
+    distinct = sorted({h for _, h in rows})
+    expected = {(a, b, apart(a, b)) for a, b in itertools.combinations(distinct, 2) if apart(a, b) <= radius}
+    assert {tuple(x) for x in close.collect()} == expected and close.count() == len(expected)
+    counts = Counter(g for (g, a), (f, b) in itertools.combinations(rows, 2) if g == f and apart(a, b) <= radius)
+    assert {x["g"]: x["pairs"] for x in reach.close_counts(df, ["g"], "h", close).collect() if x["pairs"]} == counts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,18 @@ def check_eras(eras: list[Era]) -> None:
         raise ValueError("the last era is not open")
 
 
+def validate_eras(eras: list[Era], launch: str) -> None:
+    """check_eras, and that there are eras, their starts are days and none is before the launch."""
+    if not eras:
+        raise ValueError("no era")
+    for era in eras:
+        if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", era.start):
+            raise ValueError(f"era {era.season} starts on {era.start}, which is no day")
+        if era.start < launch:
+            raise ValueError(f"era {era.season} starts before the launch")
+    check_eras(eras)
+
+
 def season_of(date: Column, eras: list[Era]) -> Column:
     """The era's number for a date as text; 0 before all eras and for null."""
     check_eras(eras)

@@ -13,12 +13,13 @@ from quillon.operators import measure as ms
 from quillon.operators import ordering as od
 from quillon.operators import pairs as pr
 from quillon.operators import reach as rc
+from quillon.operators import reads as rd
 from quillon.operators import text as tx
 from quillon.operators import thinning as th
 from quillon.plans.archive import SQL as DUPES
 from quillon.plans.archive import dupe_token_set_pairs
 from quillon.plans.footage import shuffle_sql
-from quillon.plans.reading import _KEYS, _NAMES
+from quillon.plans.reading import _KEYS, _NAMES, _READS, reads
 from quillon.sources.shared import stored
 
 RADIUS, BITS = 7, 32
@@ -196,10 +197,42 @@ def listed_pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("gap = 0").groupBy("conv_id").agg(F.count("*").alias("pages"), F.max("turn").alias("last"))
 
 
+def dropped_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """For each user and day the ids with evidence that are no members, the surest first."""
+    keys = ["user_id", "day"]
+    r = rd.bursts(reads(spark, d).withColumn("day", F.floor(F.col("sec") / 1440)), keys, "sec", 120).withColumn("w", rd.weight(F.col("dist")))
+    f = rd.fold(r, keys, "id", "w").where("not member")
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("confidence")).alias("less"), "id")))
+    return f.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["id"]), "|").alias("dropped"), F.max("confidence").alias("surest"))
+
+
+def input_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Requests with a malformed id, a second that is no whole number of a video, a member who is in no roster, or
+    a path that leaves its folder. Orders stand for requests."""
+    o, p = _t(spark, d, "orders"), _t(spark, d, "part").select("p_brand").distinct()
+    k = F.col("o_orderkey")
+    asked = o.select(k, F.when(k % 50 == 1, F.concat(F.lit("../"), k.cast("string"))).otherwise(F.lpad(k.cast("string"), 11, "0")).alias("id"), F.when(k % 40 == 2, F.lit("12.5")).when(k % 40 == 3, F.lit("9999")).otherwise((k % 600).cast("string")).alias("sec"), F.concat(F.lit("Brand#"), (k % 27 + 1).cast("string")).alias("member"), F.when(k % 30 == 4, F.lit("frames/../../etc/x")).otherwise(F.lit("frames/a/../b.png")).alias("path"))
+    met = asked.join(p, F.col("member") == F.col("p_brand"), "left")
+    parts = F.filter(F.split("path", "/"), lambda x: ~x.isin("", "."))
+    depth = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.lit(0).alias("least")), lambda s, x: F.transform(F.array(s["at"] + F.when(x == "..", -1).otherwise(1)), lambda at: F.struct(at.alias("at"), F.least(s["least"], at).alias("least")))[0])
+    second = F.when(F.col("sec").rlike(r"^\d{1,6}$"), F.col("sec").cast("int"))
+    return gt.broken(met, "input", k, [
+        (~F.col("id").rlike(r"^[A-Za-z0-9_-]{11}$"), "malformed id"), (F.coalesce(second, F.lit(-1)).between(0, 7200) == F.lit(False), "no second of a video"),
+        (F.col("p_brand").isNull(), "no member of the roster"), (depth["least"] < 0, "path leaves its folder"), ((depth["least"] >= 0) & (F.get(parts, F.lit(0)) != "frames"), "path is in another folder"),
+        ((depth["at"] < 2), "path names no file"),
+    ])
+
+
+def plated_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Of each video's frames those whose measurement found a plate on both sides, and the earliest of them."""
+    e = _t(spark, d, "events").select("user_id", "event_id", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000).alias("sec"), F.col("value").between(20, 70).alias("left"), (F.col("event_type") != "error").alias("right"))
+    return e.groupBy("user_id").agg(F.count("*").alias("frames"), F.count_if(F.col("left") & F.col("right")).alias("plated"), F.min(F.when(F.col("left") & F.col("right"), F.col("sec"))).alias("first"))
+
+
 _SHORT = f"""e AS (SELECT vec_id, vec_id % 41 AS video, CAST(label AS BIGINT) AS label, array_to_string(list_transform(embedding[1:{BITS}], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END), '')::BIT AS h FROM embeddings)"""
 _GRID = " UNION ALL ".join(f"SELECT {c}::DOUBLE AS cut, vec_id, vec_id % 41 AS video, CAST(label AS BIGINT) AS label, array_to_string(list_transform(embedding, lambda x: CASE WHEN x::DOUBLE - ({c}::DOUBLE) > 0 THEN 1 ELSE 0 END), '')::BIT AS h FROM embeddings" for c in CUTS)
 
-QUERIES = {f.__name__: f for f in (close_hashes, stable_minus_leaky, descriptor_grid, ocr_viability, radius_table, anchor_scores, state_gaps, colour_descriptors, art_candidates, blind_sample, crop_samples, duplicate_audit, freeze_pins, bench_queue, listed_pages)}
+QUERIES = {f.__name__: f for f in (close_hashes, stable_minus_leaky, descriptor_grid, ocr_viability, radius_table, anchor_scores, state_gaps, colour_descriptors, art_candidates, blind_sample, crop_samples, duplicate_audit, freeze_pins, bench_queue, listed_pages, dropped_candidates, input_gate, plated_frames)}
 
 SQL = {
     "close_hashes": f"WITH {_SHORT}, u AS (SELECT DISTINCT h FROM e) SELECT bit_count(xor(a.h, b.h))::BIGINT AS dist, count(*) AS n FROM u a JOIN u b ON a.h < b.h WHERE bit_count(xor(a.h, b.h)) <= {RADIUS} GROUP BY 1",
@@ -235,6 +268,12 @@ SQL = {
   FROM (VALUES ('1-URGENT', 1), ('5-LOW', 0), ('9-GONE', 4)) p(source, pin)) WHERE n != pin""",
     "bench_queue": """WITH l AS (SELECT l_orderkey, count(DISTINCT l_partkey) FILTER (l_linenumber % 2 = 0) AS e, count(DISTINCT l_partkey) FILTER (l_linenumber % 2 = 1) AS o FROM lineitem GROUP BY 1)
   SELECT o_orderpriority AS source, count(*) FILTER (least(e, o) < 2 AND o_orderstatus != 'F') AS open, count(*) FILTER (least(e, o) >= 2) AS done, count(*) FILTER (least(e, o) < 2 AND o_orderstatus = 'F') AS carried, count(*) AS total FROM l JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+    "dropped_candidates": f"""WITH {_READS}, e AS (SELECT *, CAST(floor(sec / 1440) AS BIGINT) AS day FROM r), l AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY user_id, day ORDER BY sec) > 120 THEN 1 ELSE 0 END AS nw FROM e),
+  b AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY user_id, day ORDER BY sec) AS BIGINT) AS burst FROM l), w AS (SELECT *, 0.55::DOUBLE * power(0.8::DOUBLE, dist) AS w FROM b WHERE id IS NOT NULL),
+  g AS (SELECT user_id, day, id, burst, max(w) AS best, product(1 - w) AS p FROM w GROUP BY ALL), f AS (SELECT user_id, day, id, round(1 - product(1 - (best + 0.5 * ((1 - p) - best))), 3) AS confidence FROM g GROUP BY ALL)
+  SELECT user_id, day, string_agg(id, '|' ORDER BY confidence DESC, id) AS dropped, max(confidence) AS surest FROM f WHERE confidence < 0.6 GROUP BY ALL""",
+    "input_gate": " UNION ALL ".join(f"SELECT 'input' AS gate, o_orderkey::VARCHAR AS id, '{why}' AS why FROM orders WHERE {rule}" for rule, why in (("o_orderkey % 50 = 1", "malformed id"), ("o_orderkey % 40 IN (2, 3)", "no second of a video"), ("'Brand#' || (o_orderkey % 27 + 1) NOT IN (SELECT p_brand FROM part)", "no member of the roster"), ("o_orderkey % 30 = 4", "path leaves its folder"), ("o_orderkey % 30 = 4", "path names no file"))),
+    "plated_frames": "SELECT user_id, count(*) AS frames, count(*) FILTER (value BETWEEN 20 AND 70 AND event_type != 'error') AS plated, min(CAST(floor(epoch_us(ts) / 60000000) AS BIGINT)) FILTER (value BETWEEN 20 AND 70 AND event_type != 'error') AS first FROM events GROUP BY 1",
     "listed_pages": """WITH f AS (SELECT conv_id, min(turn) AS start FROM conversations GROUP BY 1), p AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE (conv_id * 31 + turn) % 7 != 0),
   g AS (SELECT conv_id, turn FROM p JOIN f USING (conv_id) WHERE NOT EXISTS (SELECT 1 FROM range(100000) r(i) WHERE i >= start AND i < turn AND (conv_id * 31 + i) % 7 = 0) AND (SELECT count(*) FROM p q WHERE q.conv_id = p.conv_id AND q.turn < p.turn) = turn - start)
   SELECT conv_id, count(*) AS pages, max(turn) AS last FROM g GROUP BY 1""",

@@ -34,6 +34,28 @@ def scan_if_there(spark: SparkSession, path: str, schema: str = RAW, multi_line:
     return scan(spark, path, schema, multi_line) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def scan_or(spark: SparkSession, path: str, default: list[tuple], schema: str = RAW, multi_line: bool = False) -> DataFrame:
+    """As scan_if_there, with the rows of default where nothing lies at path or its records do not parse: for
+    readers that must go on, as a page that shows what there is. Parsing is tried on every record first."""
+    if exists(spark, path):
+        read = spark.read.schema(schema + ", _broken string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").option("multiLine", multi_line).json(path)
+        if not read.agg(F.count_if(F.col("_broken").isNotNull()).alias("n"), F.max(F.xxhash64(*read.columns)).alias("all")).first()["n"]:
+            return read.drop("_broken")
+    return spark.createDataFrame(default, schema)
+
+
+def roster(spark: SparkSession, path: str, schema: str = "id string, name string, aliases array<string>") -> DataFrame:
+    """The registry, one JSON array. An empty one is an error, and so are ids or names that are missing or appear twice."""
+    rows = scan(spark, path, schema, multi_line=True)
+    if rows.isEmpty():
+        raise ValueError(f"no one is in the roster at {path}")
+    for column in ("id", "name"):
+        odd = rows.groupBy(column).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(column).isNull()).first()
+        if odd:
+            raise ValueError(f"roster: {column} {odd[column]} {'is missing' if odd[column] is None else 'appears twice'}")
+    return rows
+
+
 def missing(rows: DataFrame, channels: DataFrame, key: str = "channel") -> DataFrame:
     """The channels without a row: each is an error in a raw dump."""
     return channels.select(key).distinct().join(rows.select(key).distinct(), key, "left_anti")

@@ -7,7 +7,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.operators import gates
+from quillon.operators import gates, intervals
+from quillon.operators import text as tx
 
 ERAS = [(1, "2026-08-01", "2026-09-01"), (2, "2026-09-01", None)]
 
@@ -106,3 +107,19 @@ def test_readings(spark):
     df = spark.createDataFrame([r[:-1] for r in rows], "k string, a array<string>, b array<string>, t array<string>, u boolean, f boolean, kp boolean")
     found = {r["k"]: tuple(r["r"]) for r in df.select("k", gates.judged_reading(*(F.col(c) for c in ("a", "b", "t", "u", "f", "kp"))).alias("r")).collect()}
     assert found == {r[0]: r[-1] for r in rows}
+
+
+def test_eras():
+    era = intervals.Era
+    good = [era(1, "2026-08-01", "2026-09-01"), era(2, "2026-09-01", None)]
+    intervals.validate_eras(good, "2026-08-01")
+    broken = {"no era": [], "no day": [era(1, "2026-8-1", None)], "before the launch": [era(1, "2026-07-31", None)], "is not open": good[:1], "does not follow": [good[0], era(2, "2026-09-02", None)]}
+    for said, eras in broken.items():
+        with pytest.raises(ValueError, match=said):
+            intervals.validate_eras(eras, "2026-08-01")
+
+
+def test_names_are_no_patterns(spark):
+    df = spark.createDataFrame([("a.b (c) axb a.b c+ A.B",)], "t string")
+    found = df.select(tx.span_ids(F.col("t"), {"a.b": "dot", "c+": "plus", "(c)": "round"}).alias("ids")).first()["ids"]
+    assert found == ["dot", "round", "plus"]

@@ -28,6 +28,23 @@ def test_absent_dump_has_no_rows(spark, tmp_path):
     assert [r.channel for r in landed.missing(rows, channels).collect()] == ["c"]
 
 
+def test_a_default_stands_in_for_absent_and_broken_files(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"a": 1}\n{"a": null}\n')
+    (tmp_path / "broken.json").write_text('{"a": 1}\n{"a": \n')
+    found = {name: [r.a for r in landed.scan_or(spark, f"{tmp_path}/{name}.json", [(7,)], "a int").collect()] for name in ("good", "broken", "none")}
+    assert found == {"good": [1, None], "broken": [7], "none": [7]}
+
+
+def test_rosters(spark, tmp_path):
+    rosters = {"good": '[{"id": "a", "name": "A"}, {"id": "b", "name": "B", "aliases": ["x"]}]', "empty": "[]", "twice": '[{"id": "a", "name": "A"}, {"id": "a", "name": "B"}]', "nameless": '[{"id": "a"}]'}
+    for name, text in rosters.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    assert sorted(r.id for r in landed.roster(spark, f"{tmp_path}/good.json").collect()) == ["a", "b"]
+    for name, said in (("empty", "no one"), ("twice", "id a appears twice"), ("nameless", "name None is missing")):
+        with pytest.raises(ValueError, match=said):
+            landed.roster(spark, f"{tmp_path}/{name}.json")
+
+
 def test_requests_keep_all_ids_once(spark):
     ids = spark.range(1234).select(F.when(F.col("id") < 1000, "hot").otherwise("cold").alias("channel"), F.col("id"))
     got = landed.requests(ids, "channel", "id").collect()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillon.operators.hashing import hamming
 from quillon.operators.ordering import null_safe
+from quillon.operators.pairs import subsets
 
 
 def _segments(bits: int, radius: int) -> list[tuple[int, int]]:
@@ -47,3 +48,31 @@ def close_counts(df: DataFrame, keys: list[str], hash_: str, close: DataFrame) -
     both = a.alias("a").join(n.alias("b"), null_safe("a", "b", keys) & (F.col("a.two") == F.col("b._h")))
     apart = both.select(*(F.col(f"a.{k}") for k in keys), (F.col("a._na") * F.col("b._n")).alias("p"))
     return equal.unionByName(apart).groupBy(*keys).agg(F.sum("p").alias("pairs"))
+
+
+def labelled_votes(reps: DataFrame, id_: str, video: str, hash_: str, members: str, close: DataFrame, radius: int) -> DataFrame:
+    """id, label, votes and margin of the representatives (rows, one a side) that get a vote. Two sides of different videos whose
+    sets share exactly one member vote for it, the more the closer their hashes are: 1 - d / (radius + 1). The label is
+    the member with most votes, the lesser where they tie; margin is what it leads the next one by.
+
+    How many sides of a hash share exactly one member with a set follows from how many hold each of its few
+    subsets, so sides are counted by hash and subset and no side meets another."""
+    rows = reps.select(F.col(id_).alias("id"), F.col(video).alias("v"), F.col(hash_).alias("h"), F.array_sort(F.array_distinct(F.filter(members, lambda x: x.isNotNull()))).alias("m")).where("h is not null")
+    each = rows.select("id", "v", "h", F.explode(subsets(F.col("m"))).alias("y"))
+    own = each.groupBy("h", "y", "v").agg(F.count("*").alias("n"))
+    every = own.groupBy("h", "y").agg(F.sum("n").alias("n"))
+    weight = 1 - F.col("dist") / (radius + 1)
+    near = close.select(F.col("one").alias("from"), F.col("two").alias("to"), weight.alias("w")).unionByName(close.select(F.col("two").alias("from"), F.col("one").alias("to"), weight.alias("w")))
+    near = near.unionByName(rows.select("h").distinct().select(F.col("h").alias("from"), F.col("h").alias("to"), F.lit(1.0).alias("w")))
+    # what a set of a video gets is the same for all its rows of a hash
+    asked = own.select("h", "y", "v").join(near, F.col("h") == F.col("from")).select("h", "v", "y", "to", "w")
+    met = asked.alias("a").join(every.alias("e"), (F.col("a.to") == F.col("e.h")) & (F.col("a.y") == F.col("e.y")))
+    met = met.select("a.h", "a.v", "a.y", "a.to", "a.w", "e.n")
+    same = met.alias("m").join(own.alias("o"), (F.col("m.to") == F.col("o.h")) & (F.col("m.y") == F.col("o.y")) & F.col("m.v").eqNullSafe(F.col("o.v")), "left")
+    of = same.select("m.h", "m.v", "m.y", (F.col("m.w") * (F.col("m.n") - F.coalesce("o.n", F.lit(0)))).alias("x")).groupBy("h", "v", "y").agg(F.sum("x").alias("x"))
+    signed = each.alias("r").join(of.alias("f"), (F.col("r.h") == F.col("f.h")) & (F.col("r.y") == F.col("f.y")) & F.col("r.v").eqNullSafe(F.col("f.v")))
+    share = F.when(F.size("r.y") % 2 == 1, F.col("f.x")).otherwise(-F.col("f.x"))
+    votes = signed.select("r.id", F.explode("r.y").alias("label"), share.alias("x")).groupBy("id", "label").agg(F.round(F.sum("x"), 9).alias("votes")).where("votes > 0")
+    ranked = votes.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("less"), "label"))).alias("r"))
+    first = F.col("r")[0]
+    return ranked.select("id", first["label"].alias("label"), (-first["less"]).alias("votes"), F.round(F.coalesce(F.get("r", F.lit(1))["less"], F.lit(0.0)) - first["less"], 9).alias("margin"))

@@ -56,6 +56,14 @@ def stable_minus_leaky(spark: SparkSession, d: str) -> DataFrame:
     return both.select("stable", "same", leaky.alias("leaky"), "cross", F.round(share(F.col("stable"), F.col("same")) - share(leaky, F.col("cross")), 9).alias("score"))
 
 
+def labelled_votes(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of crops from sides that share exactly one member and look alike."""
+    e = stored(short_hashes(spark, d), "hashes")
+    k, label = F.col("vec_id"), F.col("label")
+    reps = e.withColumn("members", F.array(label, (label + k % 3 + 1) % 10, (k * 7) % 10))
+    return rc.labelled_votes(reps, "vec_id", "video", "hash", "members", rc.close_pairs(e, "hash", RADIUS, BITS), RADIUS).withColumnRenamed("id", "vec_id")
+
+
 def descriptor_grid(spark: SparkSession, d: str) -> DataFrame:
     """How well each of a grid of descriptors (cut points of the signs) keeps labels apart in different
     videos, best first."""
@@ -232,13 +240,17 @@ def plated_frames(spark: SparkSession, d: str) -> DataFrame:
 _SHORT = f"""e AS (SELECT vec_id, vec_id % 41 AS video, CAST(label AS BIGINT) AS label, array_to_string(list_transform(embedding[1:{BITS}], lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END), '')::BIT AS h FROM embeddings)"""
 _GRID = " UNION ALL ".join(f"SELECT {c}::DOUBLE AS cut, vec_id, vec_id % 41 AS video, CAST(label AS BIGINT) AS label, array_to_string(list_transform(embedding, lambda x: CASE WHEN x::DOUBLE - ({c}::DOUBLE) > 0 THEN 1 ELSE 0 END), '')::BIT AS h FROM embeddings" for c in CUTS)
 
-QUERIES = {f.__name__: f for f in (close_hashes, stable_minus_leaky, descriptor_grid, ocr_viability, radius_table, anchor_scores, state_gaps, colour_descriptors, art_candidates, blind_sample, crop_samples, duplicate_audit, freeze_pins, bench_queue, listed_pages, dropped_candidates, input_gate, plated_frames)}
+QUERIES = {f.__name__: f for f in (close_hashes, stable_minus_leaky, labelled_votes, descriptor_grid, ocr_viability, radius_table, anchor_scores, state_gaps, colour_descriptors, art_candidates, blind_sample, crop_samples, duplicate_audit, freeze_pins, bench_queue, listed_pages, dropped_candidates, input_gate, plated_frames)}
 
 SQL = {
     "close_hashes": f"WITH {_SHORT}, u AS (SELECT DISTINCT h FROM e) SELECT bit_count(xor(a.h, b.h))::BIGINT AS dist, count(*) AS n FROM u a JOIN u b ON a.h < b.h WHERE bit_count(xor(a.h, b.h)) <= {RADIUS} GROUP BY 1",
     "stable_minus_leaky": f"""WITH {_SHORT}, p AS (SELECT a.video = b.video AS one, a.label = b.label AS same, bit_count(xor(a.h, b.h)) <= {RADIUS} AS close FROM e a JOIN e b ON a.vec_id < b.vec_id),
   c AS (SELECT count(*) FILTER (one AND same AND close) AS stable, count(*) FILTER (one AND same) AS same, count(*) FILTER (NOT one AND close) AS leaky, count(*) FILTER (NOT one) AS "cross" FROM p)
   SELECT *, round(coalesce(stable / nullif(same, 0), 0) - coalesce(leaky / nullif("cross", 0), 0), 9) AS score FROM c""",
+    "labelled_votes": f"""WITH {_SHORT}, s AS (SELECT *, list_distinct([label, (label + vec_id % 3 + 1) % 10, (vec_id * 7) % 10]) AS m FROM e),
+  p AS (SELECT a.vec_id, list_intersect(a.m, b.m) AS shared, 1 - bit_count(xor(a.h, b.h)) / {RADIUS + 1}::DOUBLE AS w FROM s a JOIN s b ON a.video != b.video AND bit_count(xor(a.h, b.h)) <= {RADIUS}),
+  v AS (SELECT vec_id, shared[1] AS label, round(sum(w), 9) AS votes FROM p WHERE len(shared) = 1 GROUP BY ALL), r AS (SELECT *, row_number() OVER o AS place, round(votes - coalesce(lead(votes) OVER o, 0), 9) AS margin FROM v WINDOW o AS (PARTITION BY vec_id ORDER BY votes DESC, label))
+  SELECT vec_id, label, votes, margin FROM r WHERE place = 1""",
     "descriptor_grid": f"""WITH g AS ({_GRID}), p AS (SELECT a.cut, a.label = b.label AS same, bit_count(xor(a.h, b.h)) AS d FROM g a JOIN g b ON a.cut = b.cut AND a.vec_id < b.vec_id AND a.video != b.video),
   s AS (SELECT cut, avg(d) FILTER (same) AS w, avg(d) FILTER (NOT same) AS b FROM p GROUP BY 1), r AS (SELECT cut, round(w, 6) AS within, round(b, 6) AS between, round(b - w, 6) AS apart FROM s)
   SELECT *, row_number() OVER (ORDER BY apart DESC, cut) - 1 AS place FROM r""",

@@ -208,3 +208,27 @@ def test_close_pairs(spark, bits, radius):
     assert {tuple(x) for x in close.collect()} == expected and close.count() == len(expected)
     counts = Counter(g for (g, a), (f, b) in itertools.combinations(rows, 2) if g == f and apart(a, b) <= radius)
     assert {x["g"]: x["pairs"] for x in reach.close_counts(df, ["g"], "h", close).collect() if x["pairs"]} == counts
+
+
+def test_labelled_votes(spark):
+    r = random.Random(12)
+    middles = [r.getrandbits(32) for _ in range(4)]
+    rows = []
+    for k in range(150):
+        h = middles[k % 4]
+        for _ in range(r.randrange(4)):
+            h ^= 1 << r.randrange(32)
+        rows.append((k, f"v{r.randrange(6)}" if k % 9 else None, h, r.sample(["a", "b", "c", "d", "e", None], r.randint(0, 4))))
+    rows += [(1_000 + k, f"w{k % 3}", middles[0], ["a", "b"]) for k in range(60)] + [(2_000, "v1", None, ["a"]), (2_001, "v1", middles[0], None)]
+    votes = defaultdict(Counter)
+    for (i, v, a, x), (j, w, b, y) in itertools.permutations([q for q in rows if q[2] is not None], 2):
+        both = ({*(x or [])} & {*(y or [])}) - {None}
+        if v != w and len(both) == 1 and apart(a, b) <= 5:
+            votes[i][both.pop()] += 1 - apart(a, b) / 6
+    expected = {}
+    for i, c in votes.items():
+        ranked = sorted((-round(n, 9), f) for f, n in c.items())
+        expected[i] = (ranked[0][1], round(-ranked[0][0], 6), round((ranked[1][0] if len(ranked) > 1 else 0) - ranked[0][0], 6))
+    df = spark.createDataFrame(rows, "id int, video string, h bigint, m array<string>").repartition(4)
+    found = reach.labelled_votes(df, "id", "video", "h", "m", reach.close_pairs(df, "h", 5, 32), 5).collect()
+    assert {x["id"]: (x["label"], round(x["votes"], 6), round(x["margin"], 6)) for x in found} == expected

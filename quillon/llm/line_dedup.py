@@ -9,7 +9,7 @@ and line number) has the same set or one of Jaccard 0.8 or more, be that one kep
 
 Equal lines are one node from the start. Groups of variants are found first: among the lines
 that share the least or the largest hash of the rarer half of their words, in a band of
-sizes, each meets a few earlier ones. Then only lines that are not matched yet probe
+sizes, each meets a dozen earlier ones. Then only lines that are not matched yet probe
 all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
 variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
 
@@ -31,7 +31,7 @@ COUNTERS = 1 << 18
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
 #: Lines before a line that it is compared with when variants are looked for.
-NEIGHBOURS = 4
+NEIGHBOURS = 12
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million

@@ -164,7 +164,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     in the original text, in code points) and contaminated (at least 5 % of the words are hit),
     in place of own columns of these names. Null and empty texts have no words; an empty
     benchmark hits nothing. A text beyond Python's surrogates is not expected: Spark strings
-    are valid UTF-8."""
+    are valid UTF-8. Rows that repeat are marked alike, and an empty table gives none."""
     spans = F.pandas_udf(_places, "array<struct<start:bigint,end:bigint>>")(F.coalesce("row.text", F.lit("")), "hits")
     new = ["n_words", "n_hit", "items", "spans", "contaminated"]
     out = _found(docs, benchmark, window).withColumn("spans", spans)

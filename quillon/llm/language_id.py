@@ -5,7 +5,9 @@ its letters: the first vector rotated twice, the second once, the third not at a
 multiplied element by element. A text bundles (sums) its trigrams, a language bundles
 its training texts, and a text gets the language with the largest cosine.
 
-Bundles are exact integers, so the prototypes do not depend on the order of the rows.
+Bundles are exact integers, so the prototypes do not depend on the order of the rows. A very long text
+is bundled in pieces that lose no trigram. Rows that repeat count as often in learning and are judged alike; an empty table
+has no language and no rows.
 """
 
 from __future__ import annotations

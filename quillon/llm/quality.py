@@ -4,6 +4,8 @@ Rules look at each whole text and vote good, bad or abstain. Expectation-maximis
 the counts of vote patterns (at most 3 to the number of rules, so a bounded table) estimates
 each rule's accuracy and the share of good documents, and the posterior probability of
 `good`, not the demand that all rules pass, decides. A small base of hard rules comes first.
+
+A very long text is one row whose words are arrays of hashes in its task; nothing crosses rows but the counts of patterns.
 """
 
 from __future__ import annotations

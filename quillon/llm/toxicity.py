@@ -3,7 +3,12 @@
 A linear classifier over hashed words is trained with numpy on confirmed toxic examples
 and unlabelled documents. With class prior p the risk is p R+(positives) plus the larger
 of 0 and R-(unlabelled) - p R-(positives); where that difference is negative, the step
-goes against it. Labels of 0 serve only to estimate the prior.
+goes against it. Labels of 0 serve only to estimate the prior. Features are words commoner in
+positives, so a word of clean text alone carries no weight.
+
+A very long text is read whole, as its distinct words. A score of exactly 0.5 is predicted toxic. Rows that repeat
+are scored alike; of different texts under one id of the fitted sample one is fitted, whichever comes first. An
+empty table gives no rows, empty labels the prior as every score.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ change any more: no host was newly reached, and what is still open of either mas
 last round's share, is too little to turn which of a host's two shares is larger, or the
 host's ranks do not grow any more by more than TOLERANCE of themselves (ties). Hosts far from every
 seed, whose shares are small, so keep the rounds going until their verdicts are settled too.
+
+A very long page is one row, of which its links go on, counted by host. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -63,6 +63,21 @@ def cap_sweep(spark: SparkSession, d: str) -> DataFrame:
     return ho.cap_sweep(ho.held_out(crops(spark, d), "video", "label", "hash"))
 
 
+def crop_fit(spark: SparkSession, d: str) -> DataFrame:
+    """For crops of several sizes (first elements of the vector) the cap with the best precision among those that accept at
+    least one row in fifty, the lower cap where they tie; held out by video."""
+    e = _t(spark, d, "embeddings")
+    out = None
+    for size in SIZES:
+        rows = e.select((F.col("vec_id") % 41).alias("video"), F.col("label").cast("long").alias("label"), hs.sign_hash(F.slice("embedding", 1, size)).alias("hash"))
+        one = ho.cap_sweep(ho.held_out(rows, "video", "label", "hash"), SIZE_CAPS).where(50 * F.col("accepted") >= F.col("rows")).withColumn("size", F.lit(size))
+        out = one if out is None else out.unionByName(one)
+    rate = F.round(F.col("correct") / F.col("accepted"), 6)
+    best = out.groupBy("size").agg(F.max(F.struct(rate.alias("precision"), (-F.col("cap")).alias("less"), F.round(F.col("accepted") / F.col("rows"), 6).alias("coverage"))).alias("b"))
+    return best.select("size", (-F.col("b.less")).alias("cap"), "b.precision", "b.coverage")
+
+
+SIZES, SIZE_CAPS = (16, 32, 48), (2, 4, 6, 8, 10, 12, 16)
 READERS = [f"v{i}" for i in range(10)]
 
 
@@ -76,19 +91,23 @@ def reader_subsets(spark: SparkSession, d: str) -> DataFrame:
 
 _CROPS = """e AS (SELECT vec_id, vec_id % 41 AS video, CAST(label AS BIGINT) AS label, vec_id % 2 = 0 AS lft, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
   h AS (SELECT *, array_to_string(bits, '')::BIT AS hash, array_to_string(list_reverse(bits), '')::BIT AS flip FROM e)"""
-_HELD = f"""{_CROPS}, l AS (SELECT label, video, unnest(bits) AS bit, generate_subscripts(bits, 1) AS i FROM h), lv AS (SELECT label, video, i, sum(bit) AS o, count(*) AS n FROM l GROUP BY ALL), la AS (SELECT label, i, sum(o) AS o, sum(n) AS n FROM lv GROUP BY ALL),
+def _held(crops: str) -> str:
+    return f"""{crops}, l AS (SELECT label, video, unnest(bits) AS bit, generate_subscripts(bits, 1) AS i FROM h), lv AS (SELECT label, video, i, sum(bit) AS o, count(*) AS n FROM l GROUP BY ALL), la AS (SELECT label, i, sum(o) AS o, sum(n) AS n FROM lv GROUP BY ALL),
   vs AS (SELECT DISTINCT video FROM h),
   m AS (SELECT vs.video, la.label, la.i, la.o - coalesce(lv.o, 0) AS o, la.n - coalesce(lv.n, 0) AS n FROM la CROSS JOIN vs LEFT JOIN lv ON lv.label = la.label AND lv.i = la.i AND lv.video = vs.video),
   t AS (SELECT video, label, any_value(n) AS n, string_agg(CASE WHEN 2 * o >= n THEN '1' ELSE '0' END, '' ORDER BY i)::BIT AS hash FROM m WHERE n > 0 GROUP BY ALL),
   tn AS (SELECT a.video, a.label, any_value(a.n) AS n, any_value(a.hash) AS hash, coalesce(min(bit_count(xor(a.hash, b.hash))), 64) AS nearest FROM t a LEFT JOIN t b ON a.video = b.video AND a.label != b.label GROUP BY a.video, a.label),
   tr AS (SELECT *, least(16, greatest(0, (nearest - 1) // 2), CASE WHEN n >= 12 THEN 16 WHEN n >= 6 THEN 12 ELSE 8 END) AS radius FROM tn),
   s AS (SELECT h.vec_id, h.label, tr.label AS tl, tr.radius, bit_count(xor(h.hash, tr.hash)) AS d FROM h JOIN tr USING (video))"""
+
+
+_HELD = _held(_CROPS)
 _SETS = "s AS (SELECT l_orderkey, l_linenumber % 2 AS side, list_sort(list_distinct(list(CAST(p_size % 8 AS BIGINT)))) AS m FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL), g AS (SELECT m, count(*) AS n FROM s GROUP BY 1)"
 _PAIRED = f"""{_SETS}, p AS (SELECT list_intersect(a.m, b.m) AS shared, CASE WHEN a.m = b.m THEN a.n * (a.n - 1) // 2 ELSE a.n * b.n END AS n FROM g a JOIN g b ON a.m <= b.m
   UNION ALL SELECT list_intersect(a.m, b.m), -1 FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey AND a.side < b.side)"""
 _MASKS = "p AS (SELECT l_orderkey, bit_or(CASE WHEN l_quantity >= 30 THEN (1::BIGINT << (l_suppkey % 10)::INT) ELSE 0 END) AS mask FROM lineitem GROUP BY 1), c AS (SELECT mask, count(*) AS n FROM p GROUP BY 1)"
 
-QUERIES = {f.__name__: f for f in (separability, mirror_means, sole_shared_entity, shared_entity_counts, class_radii, leave_one_out, cap_sweep, reader_subsets)}
+QUERIES = {f.__name__: f for f in (separability, mirror_means, sole_shared_entity, shared_entity_counts, class_radii, leave_one_out, cap_sweep, crop_fit, reader_subsets)}
 
 SQL = {
     "separability": f"""WITH {_CROPS} SELECT CASE WHEN a.label = b.label THEN 'same' ELSE 'other' END || ' label, ' || CASE WHEN a.video = b.video THEN 'one video' ELSE 'two videos' END AS kind, count(*) AS pairs,
@@ -105,6 +124,9 @@ SQL = {
   SELECT label, count(*) AS wanted, count(*) FILTER (tl = label) AS hit, count(*) FILTER (tl != label) AS wrong, count(*) FILTER (tl IS NULL) AS abstained FROM b GROUP BY 1""",
     "cap_sweep": f"""WITH {_HELD}, b AS (SELECT vec_id, any_value(label) AS label, arg_min(tl, (d, tl)) AS tl, min(d) AS d FROM s GROUP BY 1)
   SELECT cap, count(*) FILTER (d <= cap) AS accepted, count(*) FILTER (d <= cap AND tl = label) AS correct, count(*) AS rows FROM b, (SELECT unnest([6, 8, 10, 12, 14, 16, 20, 24])::INT AS cap) GROUP BY 1""",
+    "crop_fit": " UNION ALL ".join(f"""SELECT * FROM (WITH {_held(_CROPS.replace("embedding, lambda", f"embedding[1:{n}], lambda", 1))}, b AS (SELECT vec_id, any_value(label) AS label, arg_min(tl, (d, tl)) AS tl, min(d) AS d FROM s GROUP BY 1),
+  c AS (SELECT cap, count(*) FILTER (d <= cap) AS accepted, count(*) FILTER (d <= cap AND tl = label) AS correct, count(*) AS rows FROM b, (SELECT unnest({list(SIZE_CAPS)})::INT AS cap) GROUP BY 1)
+  SELECT {n} AS size, cap, round(correct / accepted, 6) AS precision, round(accepted / rows, 6) AS coverage FROM c WHERE 50 * accepted >= rows ORDER BY precision DESC, cap LIMIT 1)""" for n in SIZES),
     "reader_subsets": f"""WITH {_MASKS}, k AS (SELECT m, bit_count(m)::INT AS size, (SELECT sum(n) FROM c WHERE mask & m != 0)::BIGINT AS resolved, list_filter(range(10), lambda i: (m >> i) & 1 = 1) AS ids FROM range(1, 1024) t(m)),
   b AS (SELECT * FROM k WHERE size <= 5 QUALIFY row_number() OVER (PARTITION BY size ORDER BY resolved DESC, ids) = 1), f AS (SELECT resolved FROM k WHERE m = 1023), n AS (SELECT sum(n) AS n FROM c)
   SELECT size, array_to_string(list_transform(ids, lambda i: 'v' || i), ' ') AS readers, b.resolved, round(b.resolved / n.n, 6) AS rate,

@@ -16,6 +16,7 @@ from quillon.operators import ownership as ow
 from quillon.operators import text as tx
 from quillon.operators import thinning as th
 from quillon.plans.archive import _DAY, _GATE, _SEASON, _WINDOWS, ERAS, PATCHES, gate, orders
+from quillon.plans.labels import cosine
 from quillon.plans.reading import _MAJORITY, _READS, hashes, reads
 from quillon.plans.review import _LINES, _PLACED, lines, titled
 from quillon.sources.shared import stored
@@ -46,6 +47,17 @@ def presence(spark: SparkSession, d: str) -> DataFrame:
     return shares.join(ms.upper_median(far, ["label"], "dist"), "label").join(ms.floor_quantile(far, ["label"], "dist", 0.9).withColumnRenamed("quantile", "p90"), "label")
 
 
+def presence_cut(spark: SparkSession, d: str) -> DataFrame:
+    """Cosine of every vector to the mean of all; the upper median is the cut, and of each class the share above it
+    counts as drawn."""
+    e = _t(spark, d, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), "embedding").withColumn("one", F.lit(1))
+    m = mo.element_moments(e, "one", "embedding")
+    mean = m.agg(F.array_sort(F.collect_list(F.struct("element", "mean"))).alias("m")).select(F.transform("m", lambda x: x["mean"]).alias("mean"))
+    sims = stored(e.crossJoin(F.broadcast(mean)).select("one", "label", F.round(cosine(F.col("embedding"), F.col("mean")), 5).alias("sim")), "similar")
+    cut = ms.upper_median(sims, ["one"], "sim").select(F.col("median").alias("cut"))
+    return sims.crossJoin(F.broadcast(cut)).groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("sim") > F.col("cut")).alias("drawn"), F.max("cut").alias("cut"))
+
+
 def zero_read_verdicts(spark: SparkSession, d: str) -> DataFrame:
     """Days of users with at least three reads and no purchase among them; the upper median of their
     values decides."""
@@ -212,13 +224,16 @@ _GROUPS = """h AS (SELECT vec_id, CAST(label AS BIGINT) AS label, array_to_strin
   g AS (SELECT density, label, len(list_reduce(xs, lambda a, x: CASE WHEN len(list_filter(a, lambda y: bit_count(xor(y.h, x.h)) <= 24)) > 0 THEN a ELSE list_append(a, x) END, [xs[1]])) AS groups FROM xs)"""
 _DIST = f"{_MAJORITY}, d AS (SELECT h.label, list_sum(list_transform(list_zip(h.bits, tm.bits), lambda x: CASE WHEN x[1] != x[2] THEN 1 ELSE 0 END))::BIGINT AS dist FROM h JOIN tm USING (label))"
 
-QUERIES = {f.__name__: f for f in (element_scores, presence, zero_read_verdicts, geometry_report, resolved_rates, key_observations, orientations, union_sizes, plate_densities, read_distances, coverage_report, player_order, most_used, group_closure, fetch_worklist, live_labels, saved_sides)}
+QUERIES = {f.__name__: f for f in (element_scores, presence, presence_cut, zero_read_verdicts, geometry_report, resolved_rates, key_observations, orientations, union_sizes, plate_densities, read_distances, coverage_report, player_order, most_used, group_closure, fetch_worklist, live_labels, saved_sides)}
 
 SQL = {
     "element_scores": f"""WITH p AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS element FROM embeddings), m AS (SELECT label, element, count(*) AS n, avg(x) AS mean, var_pop(x) AS v FROM p GROUP BY ALL)
   SELECT CAST(element AS INT) AS element, round(sum(mean * n) / sum(n), 6) AS mean, round(var_pop(mean), 6) AS between, round(avg(v), 6) AS within, round(var_pop(mean) / (avg(v) + {STEADY}), 6) AS score FROM m GROUP BY 1""",
     "presence": f"""WITH {_DIST} SELECT label, count(*) AS n, round(count(*) FILTER (dist <= 24) / count(*), 6) AS near, round(count(*) FILTER (dist > 32) / count(*), 6) AS far,
   list_sort(list(dist))[count(*) // 2 + 1] AS median, list_sort(list(dist))[least(count(*) - 1, CAST(floor(0.9 * count(*)) AS BIGINT)) + 1] AS p90 FROM d GROUP BY 1""",
+    "presence_cut": """WITH p AS (SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT i, avg(x) AS y FROM p GROUP BY 1),
+  s AS (SELECT vec_id, any_value(label) AS label, round(sum(x * y) / sqrt(sum(x * x) * sum(y * y)), 5) AS sim FROM p JOIN m USING (i) GROUP BY 1), c AS (SELECT list_sort(list(sim))[count(*) // 2 + 1] AS cut FROM s)
+  SELECT label, count(*) AS n, count(*) FILTER (sim > cut) AS drawn, any_value(cut) AS cut FROM s, c GROUP BY 1""",
     "zero_read_verdicts": f"""WITH {_READS}, x AS (SELECT user_id, CAST(floor(sec / 1440) AS BIGINT) AS day, count(*) AS reads, list_sort(list(CAST(floor(value) AS BIGINT)))[count(*) // 2 + 1] AS median FROM r GROUP BY ALL HAVING count(*) FILTER (id = 'purchase') = 0 AND count(*) >= 3)
   SELECT *, CASE WHEN median <= 50 THEN 'standard' ELSE 'different' END AS verdict FROM x""",
     "geometry_report": """WITH l AS (SELECT l_orderkey, list_sort(list(round(l_tax, 2)))[count(*) // 2 + 1] AS a, list_sort(list(round(1 - l_discount, 2)))[count(*) // 2 + 1] AS b FROM lineitem GROUP BY 1), r AS (SELECT *, round(abs(a - (1 - b)), 6) AS residual FROM l),

@@ -5,6 +5,9 @@ of all distances is a sum over bits. Pairs of equal label in different videos ar
 those of the label in each video, and so on by subtraction: every figure comes from the counts of bits by
 (video, label), which are added up before they are shuffled.
 
+L1 distances. In a sorted column of n numbers, the differences of all pairs add up to the sum of (2 i - n + 1) times
+the i-th one, so ranks by element take the place of pairs; ranks come from ranges, in no group's own task.
+
 Sets. Pairs whose sets both hold X are counted by how many sets hold X; how many pairs share exactly one
 member, or exactly k, follows by inclusion and exclusion over the few subsets of each small set."""
 
@@ -15,10 +18,15 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.operators.ordering import ordinals
+from quillon.sources.shared import stored
+
 BITS = 64
 #: Members of a set whose subsets are counted; a larger one is refused.
 MAX_SET = 12
 _WIDE = "decimal(38,0)"
+#: Kinds of pairs from sums over all rows (0), by video (1), by label (2) and by both (3).
+KINDS = {"same label, one video": "{c}3", "other label, one video": "{c}1 - {c}3", "same label, two videos": "{c}2 - {c}3", "other label, two videos": "{c}0 - {c}1 - {c}2 + {c}3"}
 
 
 def bit(hash_: Column, i: int) -> Column:
@@ -67,11 +75,30 @@ def mean_distances(df: DataFrame, video: str, label: str, hash_: str) -> DataFra
     level = sums.groupBy("level").agg(F.sum(pairs).alias("p"), F.sum(total).alias("d"))
     at = lambda c, k: F.coalesce(F.sum(F.when(F.col("level") == k, F.col(c))), F.lit(0))
     one = level.agg(*(at(c, k).alias(f"{c}{k}") for c in "pd" for k in range(4)))
-    kinds = {"same label, one video": "{c}3", "other label, one video": "{c}1 - {c}3", "same label, two videos": "{c}2 - {c}3", "other label, two videos": "{c}0 - {c}1 - {c}2 + {c}3"}
-    rows = F.array(*(F.struct(F.lit(k).alias("kind"), F.expr(e.format(c="p")).cast(_WIDE).alias("p"), F.expr(e.format(c="d")).cast(_WIDE).alias("d")) for k, e in kinds.items()))
+    rows = F.array(*(F.struct(F.lit(k).alias("kind"), F.expr(e.format(c="p")).cast(_WIDE).alias("p"), F.expr(e.format(c="d")).cast(_WIDE).alias("d")) for k, e in KINDS.items()))
     return one.select(F.inline(rows)).select("kind", F.col("p").cast("bigint").alias("pairs"), F.try_divide(F.col("d").cast("double"), F.col("p").cast("double")).alias("mean"))
 
 
+def mean_l1(df: DataFrame, video: str, label: str, vector: str) -> DataFrame:
+    """As mean_distances, by the L1 distance of arrays of one length. Arrays that are null or hold a null are left out."""
+    whole = F.col(vector).isNotNull() & ~F.coalesce(F.exists(vector, lambda x: x.isNull()), F.lit(False))
+    rows = df.where(whole).withColumn("_row", F.monotonically_increasing_id())
+    each = stored(rows.select("_row", F.col(video).alias("video"), F.col(label).alias("label"), F.posexplode(F.col(vector).cast("array<double>")).alias("element", "x")), "elements")
+    level = None
+    for k, keys in enumerate(([], ["video"], ["label"], ["video", "label"])):
+        placed = ordinals(each, [F.col("x"), F.col("_row")], ["element", *keys], "_rank")
+        sums = placed.groupBy("element", *keys).agg(F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("_rank")).alias("r"))
+        total = 2 * F.col("r") - (F.col("n") - 1) * F.col("s")
+        wide = F.col("n").cast(_WIDE)
+        p = F.when(F.col("element") == 0, (wide * (wide - 1) / 2).cast(_WIDE)).otherwise(F.lit(0).cast(_WIDE))
+        one = sums.agg(F.lit(k).alias("level"), F.coalesce(F.sum(p), F.lit(0)).cast(_WIDE).alias("p"), F.coalesce(F.sum(total), F.lit(0.0)).alias("d"))
+        level = one if level is None else level.unionByName(one)
+    at = lambda c, k: F.sum(F.when(F.col("level") == k, F.col(c)))
+    one = level.agg(*(at(c, k).alias(f"{c}{k}") for c in "pd" for k in range(4)))
+    rows = F.array(*(F.struct(F.lit(k).alias("kind"), F.expr(e.format(c="p")).cast(_WIDE).alias("p"), F.expr(e.format(c="d")).alias("d")) for k, e in KINDS.items()))
+    return one.select(F.inline(rows)).select("kind", F.col("p").cast("bigint").alias("pairs"), F.try_divide(F.col("d"), F.col("p").cast("double")).alias("mean"))
+
+
 def mirrored(df: DataFrame, video: str, label: str, left: str, plain: str, flipped: str) -> DataFrame:
     """kind, pairs and mean distance of pairs of one label in two videos: both left, both right, and one
     of each side, as they are and with the right one flipped. left is a boolean column."""

@@ -33,6 +33,12 @@ def separability(spark: SparkSession, d: str) -> DataFrame:
     return pr.mean_distances(crops(spark, d), "video", "label", "hash").select("kind", "pairs", F.round("mean", 6).alias("mean"))
 
 
+def separability_l1(spark: SparkSession, d: str) -> DataFrame:
+    """As separability, with another descriptor: the L1 distance of the first eight elements."""
+    e = _t(spark, d, "embeddings").select((F.col("vec_id") % 41).alias("video"), F.col("label").cast("long").alias("label"), F.slice("embedding", 1, 8).alias("v"))
+    return pr.mean_l1(e, "video", "label", "v").select("kind", "pairs", F.round("mean", 6).alias("mean"))
+
+
 def mirror_means(spark: SparkSession, d: str) -> DataFrame:
     """Mean distance by the sides of a pair, as it is and with one side flipped."""
     return pr.mirrored(crops(spark, d), "video", "label", "left", "hash", "flip").select("kind", "pairs", F.round("mean", 6).alias("mean"))
@@ -107,11 +113,14 @@ _PAIRED = f"""{_SETS}, p AS (SELECT list_intersect(a.m, b.m) AS shared, CASE WHE
   UNION ALL SELECT list_intersect(a.m, b.m), -1 FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey AND a.side < b.side)"""
 _MASKS = "p AS (SELECT l_orderkey, bit_or(CASE WHEN l_quantity >= 30 THEN (1::BIGINT << (l_suppkey % 10)::INT) ELSE 0 END) AS mask FROM lineitem GROUP BY 1), c AS (SELECT mask, count(*) AS n FROM p GROUP BY 1)"
 
-QUERIES = {f.__name__: f for f in (separability, mirror_means, sole_shared_entity, shared_entity_counts, class_radii, leave_one_out, cap_sweep, crop_fit, reader_subsets)}
+QUERIES = {f.__name__: f for f in (separability, separability_l1, mirror_means, sole_shared_entity, shared_entity_counts, class_radii, leave_one_out, cap_sweep, crop_fit, reader_subsets)}
 
 SQL = {
     "separability": f"""WITH {_CROPS} SELECT CASE WHEN a.label = b.label THEN 'same' ELSE 'other' END || ' label, ' || CASE WHEN a.video = b.video THEN 'one video' ELSE 'two videos' END AS kind, count(*) AS pairs,
   round(avg(bit_count(xor(a.hash, b.hash))), 6) AS mean FROM h a JOIN h b ON a.vec_id < b.vec_id GROUP BY 1""",
+    "separability_l1": """WITH e AS (SELECT vec_id, vec_id % 41 AS video, label, embedding[1:8] AS v FROM embeddings)
+  SELECT CASE WHEN a.label = b.label THEN 'same' ELSE 'other' END || ' label, ' || CASE WHEN a.video = b.video THEN 'one video' ELSE 'two videos' END AS kind, count(*) AS pairs,
+  round(avg(list_sum(list_transform(list_zip(a.v, b.v), lambda p: abs(p[1]::DOUBLE - p[2]::DOUBLE)))), 6) AS mean FROM e a JOIN e b ON a.vec_id < b.vec_id GROUP BY 1""",
     "mirror_means": f"""WITH {_CROPS}, p AS (SELECT CASE WHEN a.lft AND b.lft THEN ['L-L'] WHEN NOT a.lft AND NOT b.lft THEN ['R-R'] ELSE ['L-R plain', 'L-R flipped'] END AS kinds,
   bit_count(xor(a.hash, b.hash)) AS plain, bit_count(xor(CASE WHEN a.lft THEN a.hash ELSE b.hash END, CASE WHEN a.lft THEN b.flip ELSE a.flip END)) AS turned FROM h a JOIN h b ON a.vec_id < b.vec_id AND a.label = b.label AND a.video != b.video)
   SELECT kind, count(*) AS pairs, round(avg(CASE WHEN kind = 'L-R flipped' THEN turned ELSE plain END), 6) AS mean FROM (SELECT unnest(kinds) AS kind, plain, turned FROM p) GROUP BY 1""",

@@ -53,6 +53,19 @@ def test_mean_distances(frame, crops):
     assert {(r["pairs"], r["mean"]) for r in none} == {(0, None)}
 
 
+def test_mean_l1(spark):
+    r = random.Random(21)
+    rows = [("v0" if k % 3 else f"v{k % 4}", r.choice("ab") if k % 2 else None, [r.gauss(0, 1), float(r.randrange(3)), 5.0]) for k in range(90)]
+    sums = defaultdict(list)
+    for a, b in itertools.combinations(rows, 2):
+        sums[f"{'same' if a[1] == b[1] else 'other'} label, {'one video' if a[0] == b[0] else 'two videos'}"].append(sum(abs(x - y) for x, y in zip(a[2], b[2])))
+    df = spark.createDataFrame([*rows, ("v0", "a", None), ("v0", "a", [1.0, None, 2.0])], "video string, label string, v array<double>").repartition(5)
+    found = {x["kind"]: (x["pairs"], x["mean"]) for x in pairs.mean_l1(df, "video", "label", "v").collect()}
+    assert {k: v[0] for k, v in found.items()} == {k: len(v) for k, v in sums.items()}
+    assert all(abs(found[k][1] - np.mean(v)) < 1e-9 for k, v in sums.items())
+    assert {x["pairs"] for x in pairs.mean_l1(df.where("false"), "video", "label", "v").collect()} == {0}
+
+
 def test_mirrored(frame, crops):
     sums = defaultdict(list)
     for a, b in itertools.combinations(crops, 2):

@@ -9,7 +9,7 @@ and line number) has the same set or one of Jaccard 0.8 or more, be that one kep
 
 Equal lines are one node from the start. Groups of variants are found first: among the lines
 that share the least or the largest hash of the rarer half of their words, in a band of
-sizes, each meets a dozen earlier ones. Then only lines that are not matched yet probe
+sizes, each meets a few earlier ones. Then only lines that are not matched yet probe
 all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
 variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
 
@@ -31,7 +31,7 @@ COUNTERS = 1 << 18
 #: Counters that come to the driver as one row.
 CHUNK = 1 << 12
 #: Lines before a line that it is compared with when variants are looked for.
-NEIGHBOURS = 12
+NEIGHBOURS = 8
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
@@ -97,7 +97,7 @@ def _needed(n: Column) -> Column:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, prefix, common
+    """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, upper, prefix, common
     (ranks of the rarest words), ends (least and largest hash among the rarer half of the words)."""
     ranks = rarity(docs)
     c = F.col
@@ -107,15 +107,17 @@ def _nodes(docs: DataFrame) -> DataFrame:
     sets = lines.select("first", "l1", "l2", F.sort_array(F.transform("h", key)).alias("t"), F.size("h").alias("n"))
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
+    # of the tokens whose next bit is set: with parity these are the parities of 128 slots
+    upper = F.aggregate(F.filter("t", lambda t: t.bitwiseAND(F.lit(64)) != 0), F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
     first = F.slice("t", 1, (c("n") - F.floor((4 * c("n") + 4) / 5) + SHARED).cast("int"))
     common = sum((F.coalesce(F.shiftright(F.get("t", F.lit(k)), 56), F.lit(0)) for k in range(3)), F.lit(0))
     prefix = F.transform(first, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     # the rarer half of the words, so that no bucket is one of common words
     half = F.transform(F.slice("t", 1, F.ceil(c("n") / 2).cast("int")), lambda t: t.bitwiseAND(F.lit((1 << 56) - 1)))
-    rows = sets.select("l1", "l2", "first", "n", parity.alias("parity"), prefix.alias("prefix"), common.cast("int").alias("common"), half.alias("half"))
+    rows = sets.select("l1", "l2", "first", "n", parity.alias("parity"), upper.alias("upper"), prefix.alias("prefix"), common.cast("int").alias("common"), half.alias("half"))
     ends = F.array_distinct(F.transform(F.array(F.array_min("half"), F.array_max("half")), lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
     rows = rows.withColumn("ends", ends).drop("half")
-    merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("n", "parity", "prefix", "common", "ends")))
+    merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("n", "parity", "upper", "prefix", "common", "ends")))
     return cut(merged.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
 
@@ -131,11 +133,18 @@ def _fit(places: Column, m1: Column, b1: Column, m2: Column, b2: Column) -> Colu
     return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (F.least(n1 - p1, n2 - p2) > need - SHARED) & (F.bit_count(b1.bitwiseXOR(b2)) <= n1 + n2 - 2 * need)
 
 
+def _wide(m1: Column, b1: Column, u1: Column, m2: Column, b2: Column, u2: Column) -> Column:
+    """The bitmap filter by 128 slots: those of upper, and those of the others."""
+    n = _size(m1) + _size(m2)
+    upper = u1.bitwiseXOR(u2)
+    return F.bit_count(upper) + F.bit_count(b1.bitwiseXOR(b2).bitwiseXOR(upper)) <= n - 2 * _needed(n)
+
+
 def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
-    """token, lid, meta, parity: a row for each token of the prefix."""
+    """token, lid, meta, parity, upper: a row for each token of the prefix."""
     meta = F.shiftleft(open_.cast("long"), 2 * FIELD).bitwiseOR(F.shiftleft(F.col("n").cast("long"), FIELD))
-    rows = nodes.select("lid", "parity", meta.alias("head"), F.posexplode(prefix).alias("pos", "token"))
-    return rows.select("token", "lid", F.col("head").bitwiseOR(F.col("pos").cast("long")).alias("meta"), "parity")
+    rows = nodes.select("lid", "parity", "upper", meta.alias("head"), F.posexplode(prefix).alias("pos", "token"))
+    return rows.select("token", "lid", F.col("head").bitwiseOR(F.col("pos").cast("long")).alias("meta"), "parity", "upper")
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
@@ -164,7 +173,7 @@ def _probed(nodes: DataFrame, matched: DataFrame) -> DataFrame:
     is_open = lambda s: s("meta") >= F.lit(1 << 2 * FIELD)
     # one expression over both sides, so that these stay one exchange
     meets = F.when(is_open(x) & is_open(y), x("lid") < y("lid")).otherwise(is_open(x) & (x("lid") != y("lid")))
-    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(F.lit(MASK), x("meta"), x("parity"), y("meta"), y("parity")))
+    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(F.lit(MASK), x("meta"), x("parity"), y("meta"), y("parity")) & _wide(x("meta"), x("parity"), x("upper"), y("meta"), y("parity"), y("upper")))
     # two lines of one word each have no more to share
     shared = F.sum(F.when(_size(x("meta")) < SHARED, SHARED).otherwise(1))
     return both.groupBy(F.greatest("x.lid", "y.lid").alias("a"), F.least("x.lid", "y.lid").alias("b")).agg(shared.alias("k")).where(F.col("k") >= SHARED).select("a", "b")

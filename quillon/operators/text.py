@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value evaluated once for a row, however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
     """The name of the first rule that holds; null if none does. One CASE, so that the order
     decides and not the optimizer."""

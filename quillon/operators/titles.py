@@ -41,6 +41,8 @@ SLOT = r"\(([^()]*)\)"
 POSITION = r"(?i)#\s*\d+\s*(?:ranked|rank)\s*"
 PLAYER_LINE = r"(?iU)player\s*([12])\s*:\s*([^\n(]{1,50}?)\s*\(([^()\n]{1,80})\)"
 PROSE = r"(?iU)([^():\n!]{1,50}?)\s*\(([^()\n]{1,160})\)\s*(?:versus|vs\.?)\s*([^():\n!]{1,50}?)\s*\(([^()\n]{1,160})\)"
+#: What every such sentence holds.
+AGAINST = r"(?iU)\)\s*v(?:ersu)?s"
 PATCH_TITLE = r"(?i)patch[\s\p{Z}\x{FEFF}]*update[\s\p{Z}\x{FEFF}]*(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
 MAX_HANDLE = 40
 DESCRIPTION_READ = 900
@@ -112,20 +114,24 @@ def core(title: Column) -> Column:
     parenthesis."""
     tail = rf"[{PICTOGRAPHS}\s|·—–-]+$"
     trimmed = F.trim(F.regexp_replace(F.regexp_replace(spaced(title), BRACKET_TAIL, ""), tail, ""))
-    halves = F.split(trimmed, VERSUS, 2)
-    left = F.regexp_replace(F.get(halves, F.lit(0)), rf"(?s)^[^(]*{BAR}", "")
-    right = F.regexp_replace(F.get(halves, F.lit(1)), rf"(?s)^((?:.*\))?[^{BAR})]*){BAR}[^)]*$", "$1")
-    sides = F.trim(F.regexp_replace(F.concat(left, F.lit(" vs "), right), tail, ""))
-    return F.when(~sides.contains(BAR), sides)
+
+    def joined(halves: Column) -> Column:
+        left = F.regexp_replace(F.get(halves, F.lit(0)), rf"(?s)^[^(]*{BAR}", "")
+        right = F.regexp_replace(F.get(halves, F.lit(1)), rf"(?s)^((?:.*\))?[^{BAR})]*){BAR}[^)]*$", "$1")
+        return F.trim(F.regexp_replace(F.concat(left, F.lit(" vs "), right), tail, ""))
+
+    sides = tx.once(F.split(trimmed, VERSUS, 2), joined)
+    return tx.once(sides, lambda s: F.when(~s.contains(BAR), s))
 
 
 def slots(title: Column) -> Column:
     """[n, handle, said, whole, order] of the two sides, n parentheses in each, said being what the first
     one says without a place in a ranking and whole all of it; null for no two sides."""
-    sides = F.split(core(title), VERSUS)
 
     def slot(side: Column) -> Column:
-        said = F.regexp_extract_all(side, F.lit(SLOT), F.lit(1))
+        return tx.once(F.regexp_extract_all(side, F.lit(SLOT), F.lit(1)), lambda said: read(side, said))
+
+    def read(side: Column, said: Column) -> Column:
         return F.struct(
             F.size(said).alias("n"),
             clean_handle(F.regexp_replace(side, SLOT, "")).alias("handle"),
@@ -134,19 +140,29 @@ def slots(title: Column) -> Column:
             F.when(side.rlike("^" + SLOT), "chars-first").otherwise("handle-first").alias("order"),
         )
 
-    return F.when(F.size(sides) == 2, F.transform(sides, slot))
+    return tx.once(F.split(core(title), VERSUS), lambda sides: F.when(F.size(sides) == 2, F.transform(sides, slot)))
 
 
 def parallel_lists(title: Column, aliases: dict[str, str]) -> Column:
     """(handles, characters) of titles that name both in segments of their own: of three and
     more segments, one is of characters on both sides and one of handles; else null."""
     parts = F.filter(F.transform(F.split(F.regexp_replace(title, BRACKET_TAIL, ""), BAR), spaced), lambda s: s != "")
-    pairs = F.filter(F.transform(parts, lambda s: F.split(s, VERSUS)), lambda p: F.size(p) == 2)
-    read = F.transform(pairs, lambda p: F.struct(F.transform(p, clean_handle).alias("handles"), F.transform(p, lambda s: tx.span_ids(s, aliases)).alias("characters")))
-    named = F.filter(read, lambda r: F.forall(r["characters"], lambda c: F.size(c) > 0))
-    bare = F.filter(read, lambda r: F.forall(r["characters"], lambda c: F.size(c) == 0) & F.forall(r["handles"], fits))
-    one = (F.size(parts) >= 3) & (F.size(named) == 1) & (F.size(bare) == 1)
-    return F.when(one, F.struct(F.get(bare, F.lit(0))["handles"].alias("handles"), F.get(named, F.lit(0))["characters"].alias("characters")))
+
+    def read(parts: Column) -> Column:
+        pairs = F.filter(F.transform(parts, lambda s: F.split(s, VERSUS)), lambda p: F.size(p) == 2)
+        return F.transform(pairs, lambda p: F.struct(F.transform(p, clean_handle).alias("handles"), F.transform(p, lambda s: tx.span_ids(s, aliases)).alias("characters")))
+
+    def both(read: Column) -> Column:
+        named = F.filter(read, lambda r: F.forall(r["characters"], lambda c: F.size(c) > 0))
+        bare = F.filter(read, lambda r: F.forall(r["characters"], lambda c: F.size(c) == 0) & F.forall(r["handles"], fits))
+        return F.struct(named.alias("named"), bare.alias("bare"))
+
+    def chosen(found: Column) -> Column:
+        one = (F.size(found["named"]) == 1) & (F.size(found["bare"]) == 1)
+        return F.when(one, F.struct(F.get(found["bare"], F.lit(0))["handles"].alias("handles"), F.get(found["named"], F.lit(0))["characters"].alias("characters")))
+
+    # what two segments and fewer say is not read
+    return tx.once(parts, lambda p: F.when(F.size(p) >= 3, tx.once(read(p), lambda r: tx.once(both(r), chosen))))
 
 
 def parsed(uploads: DataFrame, gate: Gate, aliases: dict[str, str]) -> DataFrame:
@@ -157,7 +173,9 @@ def parsed(uploads: DataFrame, gate: Gate, aliases: dict[str, str]) -> DataFrame
     if tx.overlapping_aliases(aliases):
         raise ValueError("an alias ends as a longer one begins")
     title = F.col("title")
-    found = uploads.withColumn("_lists", parallel_lists(title, aliases)).withColumn("_slots", F.when(F.col("_lists").isNull(), slots(title)))
+    gated = gate_reason(gate, title, *(F.col(c) for c in ("description", "widened", "published", "live", "seconds")))
+    found, past = uploads.withColumn("_gated", gated), F.col("_gated").isNull()
+    found = found.withColumn("_lists", F.when(past, parallel_lists(title, aliases))).withColumn("_slots", F.when(past & F.col("_lists").isNull(), slots(title)))
     sides, lists = F.col("_slots"), F.col("_lists")
     found = found.withColumn("_handles", F.coalesce(lists["handles"], F.transform(sides, lambda s: s["handle"])))
     found = found.withColumn("_characters", F.coalesce(lists["characters"], F.transform(sides, lambda s: tx.span_ids(s["said"], aliases))))
@@ -174,9 +192,8 @@ def parsed(uploads: DataFrame, gate: Gate, aliases: dict[str, str]) -> DataFrame
             ("char-unresolved", F.exists(characters, lambda c: F.size(c) == 0)),
         ]
     )
-    gated = gate_reason(gate, title, *(F.col(c) for c in ("description", "widened", "published", "live", "seconds")))
-    found = found.withColumn("_gated", gated).withColumn("_reason", F.coalesce("_gated", structure))
-    reason, past = F.col("_reason"), F.col("_gated").isNull()
+    found = found.withColumn("_reason", F.coalesce("_gated", structure))
+    reason = F.col("_reason")
     completion = reason == "char-unresolved"
     both = both_games(gate, title, F.col("description"), F.col("widened"))
     joined = lambda c: F.array_join(c, " | ")
@@ -195,7 +212,8 @@ def parsed(uploads: DataFrame, gate: Gate, aliases: dict[str, str]) -> DataFrame
         F.when(reason.isNull() | completion, handles).alias("handles"),
         F.when(reason.isNull(), characters).alias("characters"),
     )
-    return found.withColumn("parse", parse).drop("_lists", "_slots", "_handles", "_characters", "_gated", "_reason")
+    # a generator of one row: a filter on what was parsed stays above it, below it would repeat the grammar for each of its columns
+    return found.withColumn("parse", F.explode(F.array(parse))).drop("_lists", "_slots", "_handles", "_characters", "_gated", "_reason")
 
 
 def begun(text: Column, units: int) -> Column:
@@ -203,28 +221,35 @@ def begun(text: Column, units: int) -> Column:
     held = F.substring(F.encode(text, "UTF-16BE"), 1, 2 * units)
     last = F.hex(F.substring(held, 2 * units - 1, 1))
     whole = F.when(last.between("D8", "DB"), F.substring(held, 1, 2 * units - 2)).otherwise(held)
-    return F.decode(whole, "UTF-16BE")
+    return F.when(F.octet_length(text) <= units, text).otherwise(F.decode(whole, "UTF-16BE"))
 
 
 def bench(description: Column, lines: Column, aliases: dict[str, str]) -> Column:
     """[handle, characters, residue] of both sides that the first DESCRIPTION_READ UTF-16 units of an
     NFC text name: a line for each player where lines holds, the last of each, else one
     sentence. Null where the shape is not there."""
-    read = begun(description, DESCRIPTION_READ)
 
     def side(handle: Column, said: Column) -> Column:
         return F.struct(stripped(handle).alias("handle"), tx.span_ids(said, aliases).alias("characters"), tx.residue(said, aliases).alias("residue"))
 
-    every = F.regexp_extract_all(read, F.lit(PLAYER_LINE), F.lit(0))
-
-    def last_of(who: str) -> Column:
+    def last_of(every: Column, who: str) -> Column:
         return F.try_element_at(F.filter(every, lambda m: F.regexp_extract(m, PLAYER_LINE, 1) == who), F.lit(-1))
 
-    last = [last_of("1"), last_of("2")]
-    by_line = F.when(last[0].isNotNull() & last[1].isNotNull(), F.array(*(side(F.regexp_extract(m, PLAYER_LINE, 2), F.regexp_extract(m, PLAYER_LINE, 3)) for m in last)))
-    group = lambda g: F.regexp_extract(read, PROSE, g)
-    by_sentence = F.when(read.rlike(PROSE), F.array(side(group(1), group(2)), side(group(3), group(4))))
-    return F.when(lines, by_line).otherwise(by_sentence)
+    def by_line(last: Column) -> Column:
+        both = F.forall(last, lambda m: m.isNotNull())
+        return F.when(both, F.transform(last, lambda m: side(F.regexp_extract(m, PLAYER_LINE, 2), F.regexp_extract(m, PLAYER_LINE, 3))))
+
+    # the groups of a match are those of its own text, so that the whole one is searched once
+    def by_sentence(match: Column) -> Column:
+        group = lambda g: F.regexp_extract(match, PROSE, g)
+        return F.when(match != "", F.array(side(group(1), group(2)), side(group(3), group(4))))
+
+    def sides(read: Column) -> Column:
+        last = tx.once(F.regexp_extract_all(read, F.lit(PLAYER_LINE), F.lit(0)), lambda every: F.array(last_of(every, "1"), last_of(every, "2")))
+        prose = F.when(read.rlike(AGAINST), F.regexp_extract(read, PROSE, 0))
+        return F.when(lines, tx.once(last, by_line)).otherwise(tx.once(prose, by_sentence))
+
+    return tx.once(begun(description, DESCRIPTION_READ), sides)
 
 
 def handle_key(nfkd: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import regex
 from pyspark.sql import functions as F
 
+from conftest import SF
 from quillon.operators import text as tx
 from quillon.operators import titles as ti
 
@@ -103,3 +104,24 @@ def test_sides_are_built_with_their_provenance(spark):
         ("description", "description", ["b", "a"], "handle", False, True), ("description", "description", ["b"], "handle", True, True), ("title", "title", None, "handle", False, False),
         ("title", "title", None, None, False, False), ("title", "title", None, "ambiguous", False, False),
     ]
+
+
+def test_a_filter_on_parses_repeats_no_grammar(spark):
+    """What is filtered is planned once: the grammar stood in the filter again, a copy for each use of each column."""
+    from quillon.plans import titles as plans
+
+    def size(name):
+        return len(plans.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString())
+
+    whole = size("title_parses")
+    for name in ("miss_reasons", "review_rows", "slot_order_tally"):
+        assert size(name) < 1.5 * whole
+
+
+def test_a_long_description_is_searched_once_for_a_sentence(spark):
+    """900 signs that begin no sentence, and sentences behind others that break off."""
+    texts = ["." * 899 + ")", "x (a) vs y\n" * 40 + "p (ring) vs. q (nut, ring)", "p (ring) VERSUS q (nut)"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", ti.bench(F.col("t"), F.lit(False), {"ring": "r", "nut": "n"}).alias("b")).orderBy("i").collect()
+    said = [r["b"] and [(s["handle"], s["characters"]) for s in r["b"]] for r in rows]
+    assert said == [None, [("p", ["r"]), ("q", ["n", "r"])], [("p", ["r"]), ("q", ["n"])]]

@@ -25,7 +25,8 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 def patches(spark: SparkSession, d: str) -> DataFrame:
     """A day each, some with the token of an era, without a day, of the day before or including others."""
     k = F.col("o_orderkey")
-    day = lambda n: F.date_add(F.lit("1995-01-01").cast("date"), n.cast("int")).cast("string")
+    # years of five digits as DuckDB writes them; Spark puts a plus before them
+    day = lambda n: F.ltrim(F.date_add(F.lit("1995-01-01").cast("date"), n.cast("int")).cast("string"), F.lit("+"))
     start = F.when(k % 50 == 3, day(k - 1)).otherwise(day(k))
     version = F.when(k % 50 == 1, "S3").when(k % 50 == 2, F.concat(F.lit("v"), k.cast("string"))).when(k % 50 == 4, day(k + 1)).otherwise(start)
     includes = F.when(k % 40 == 0, F.array(day(k - 1), F.lit("x"))).otherwise(F.array().cast("array<string>"))

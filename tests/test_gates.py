@@ -7,8 +7,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from compare import duck_bag, spark_bag
 from quillon.operators import gates, intervals
 from quillon.operators import text as tx
+from quillon.plans import gates as plans
 
 ERAS = [(1, "2026-08-01", "2026-09-01"), (2, "2026-09-01", None)]
 
@@ -123,3 +125,11 @@ def test_names_are_no_patterns(spark):
     df = spark.createDataFrame([("a.b (c) axb a.b c+ A.B",)], "t string")
     found = df.select(tx.span_ids(F.col("t"), {"a.b": "dot", "c+": "plus", "(c)": "round"}).alias("ids")).first()["ids"]
     assert found == ["dot", "round", "plus"]
+
+
+def test_patches_of_years_of_five_digits(spark, tmp_path):
+    """Keys that reach beyond the year 9999 give the rows of the SQL."""
+    keys = [1, 2, 3, 4, 40, 2_924_000, 2_924_003, 2_924_040, 8_999_999, 9_000_000]
+    rows = spark.createDataFrame([(k, "1-URGENT" if k % 3 else "5-LOW") for k in keys], "o_orderkey bigint, o_orderpriority string")
+    rows.toPandas().to_parquet(tmp_path / "orders.parquet")
+    assert spark_bag(plans.patch_gate(spark, str(tmp_path))) == duck_bag(str(tmp_path), plans.SQL["patch_gate"])

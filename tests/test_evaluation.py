@@ -245,3 +245,36 @@ def test_labelled_votes(spark):
     df = spark.createDataFrame(rows, "id int, video string, h bigint, m array<string>").repartition(4)
     found = reach.labelled_votes(df, "id", "video", "h", "m", reach.close_pairs(df, "h", 5, 32), 5).collect()
     assert {x["id"]: (x["label"], round(x["votes"], 6), round(x["margin"], 6)) for x in found} == expected
+
+
+def test_pairs_block_by_block(spark, monkeypatch):
+    """Pairs within a block and over blocks, wide hashes, copies, nulls, sets of several sizes: against all pairs."""
+    monkeypatch.setattr(reach, "BLOCK", 16)
+    r = random.Random(31)
+    rows = []
+    for k in range(140):
+        h = [0, (1 << 64) - 1, 0x0F0F << 40][k % 3]
+        for _ in range(r.randrange(5)):
+            h ^= 1 << r.randrange(64)
+        rows.append((k, r.randrange(4) if k % 9 else None, r.randrange(3) if k % 7 else None, signed(h), [x for x in r.sample([-5, 2, 7, 10**15, None], r.randint(0, 4))]))
+    rows += [(500, 1, 1, None, [2]), (501, 1, 1, 0, None)] + [(600 + k, 0, 1, 0, [7, 2]) for k in range(5)]
+    df = spark.createDataFrame(rows, "id int, v int, l int, h bigint, m array<bigint>").repartition(3)
+    held = [x for x in rows if x[3] is not None]
+    near = [(a, b, apart(a[3], b[3])) for a, b in itertools.combinations(held, 2) if apart(a[3], b[3]) <= 6]
+    distinct = sorted({x[3] for x in held})
+    by = Counter(apart(a, b) for a, b in itertools.combinations(distinct, 2) if apart(a, b) <= 6)
+    assert {x["dist"]: x["n"] for x in reach.close_distances(df, "h", 6).collect()} == by
+    inside = [(a, b) for a, b, _ in near if a[1] == b[1]]
+    assert tuple(reach.close_kinds(df, "v", "l", "h", 6).first()) == (sum(a[2] == b[2] for a, b in inside), len(inside), len(near))
+    votes = defaultdict(float)
+    for a, b, d in near:
+        both = ({*(a[4] or [])} & {*(b[4] or [])}) - {None}
+        if a[1] != b[1] and len(both) == 1:
+            label = both.pop()
+            votes[a[0], label] += 1 - d / 7
+            votes[b[0], label] += 1 - d / 7
+    found = reach.near_votes(df, "id", "v", "h", "m", 6).collect()
+    best = {i: min((-round(n, 9), f) for (j, f), n in votes.items() if j == i) for i in {i for i, _ in votes}}
+    assert {x["id"]: (x["label"], round(x["votes"], 6)) for x in found} == {i: (f, round(-n, 6)) for i, (n, f) in best.items()}
+    none = df.where("false")
+    assert reach.near_votes(none, "id", "v", "h", "m", 6).collect() == [] and tuple(reach.close_kinds(none, "v", "l", "h", 6).first()) == (0, 0, 0)

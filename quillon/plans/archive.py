@@ -5,13 +5,14 @@ numbers for their sides, part brands for entities and customers for players."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.vectorized import nfkd
 from quillon.operators import appearances as ap
 from quillon.operators import intervals as iv
 from quillon.operators import text as tx
+from quillon.sources.shared import DEALT, dealt
 
 ERAS = [iv.Era(1, "1996-01-01", "1998-01-01"), iv.Era(2, "1998-01-01", "2000-01-01"), iv.Era(3, "2000-01-01", None)]
 PATCHES = ["1996-01-01", "1996-07-01", "1998-01-01", "1998-09-15", "2000-03-01", "2001-01-01"]
@@ -30,8 +31,16 @@ def sides(spark: SparkSession, d: str) -> DataFrame:
 
 def appearances(spark: SparkSession, d: str) -> DataFrame:
     """order, side and entity, each once. Lines are dealt by order, which is all that what follows by order needs."""
-    items = t(spark, d, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).cast("long").alias("side")).join(t(spark, d, "part").select("p_partkey", F.col("p_brand").alias("entity")), F.col("l_partkey") == F.col("p_partkey"))
-    return items.select("l_orderkey", "side", "entity").repartition("l_orderkey").distinct()
+    lines = t(spark, d, "lineitem")
+    return dealt(with_parts(spark, d, lines.select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).cast("long").alias("side")), F.col("p_brand").alias("entity")), "l_orderkey", lines.count()).distinct()
+
+
+def with_parts(spark: SparkSession, d: str, lines: DataFrame, of_part: Column) -> DataFrame:
+    """lines with a column of their part in place of its key. Many lines are dealt by part in tasks of a bounded size before they meet."""
+    n = lines.count()
+    if n > DEALT * int(spark.conf.get("spark.sql.shuffle.partitions")):
+        lines = dealt(lines, "l_partkey", n)
+    return lines.join(t(spark, d, "part").select("p_partkey", of_part), F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
 
 
 _ITEMS = "items AS (SELECT l_orderkey, CAST(l_linenumber % 2 AS BIGINT) AS side, p_brand, min(l_linenumber) AS pos FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"
@@ -75,7 +84,7 @@ def patch_token_for_date(spark, d):
 def player_entity_matrix(spark, d):
     """A3"""
     owned = appearances(spark, d).join(t(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    used = owned.groupBy("o_custkey", "entity").agg(F.count("*").alias("n"))
+    used = dealt(owned.select("o_custkey", "entity"), "o_custkey", t(spark, d, "lineitem").count()).groupBy("o_custkey", "entity").agg(F.count("*").alias("n"))
     return t(spark, d, "customer").select("c_custkey").join(used, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "entity", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 

@@ -10,6 +10,8 @@ from quillon.operators import hashing as hs
 from quillon.operators import holdout as ho
 from quillon.operators import pairs as pr
 from quillon.operators import subsets as sb
+from quillon.plans.archive import with_parts
+from quillon.sources.shared import dealt
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -24,8 +26,9 @@ def crops(spark: SparkSession, d: str) -> DataFrame:
 
 def families(spark: SparkSession, d: str) -> DataFrame:
     """order and side with their sets of part sizes, in eight families."""
-    items = _t(spark, d, "lineitem").join(_t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return items.groupBy("l_orderkey", (F.col("l_linenumber") % 2).alias("side")).agg(F.collect_set((F.col("p_size") % 8).cast("bigint")).alias("members"))
+    lines = _t(spark, d, "lineitem")
+    items = with_parts(spark, d, lines.select("l_orderkey", "l_partkey", (F.col("l_linenumber") % 2).alias("side")), (F.col("p_size") % 8).cast("bigint").alias("size"))
+    return dealt(items, "l_orderkey", lines.count()).groupBy("l_orderkey", "side").agg(F.collect_set("size").alias("members"))
 
 
 def separability(spark: SparkSession, d: str) -> DataFrame:

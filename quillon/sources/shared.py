@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a task where rows are dealt by a key.
+DEALT = 1_000_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; only a local session without it gets a temporary folder."""
@@ -29,3 +32,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, key: str, n: int) -> DataFrame:
+    """df, of about n rows, by key: in the tasks that a shuffle has by itself, or in as many as leave each
+    DEALT rows, so that what a task sorts and groups does not grow with the table."""
+    tasks = -(-n // DEALT)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(key)
+    return df.repartition(tasks, key)

@@ -36,3 +36,19 @@ def test_names_are_decoded_from_their_trims(spark):
 
     assert got == {x: plain(x) for x in names}
     assert [got[x][0] for x in names] == ["HULK", "LOKI", "MAGIK", "WOLVERINE", "MAGIK", "WOLVERINE", None, None, None]
+
+
+def test_tasks_grow_with_the_rows_that_are_dealt(spark, monkeypatch):
+    """However many lines there are, a task gets a bounded number; the rows stay those of the SQL."""
+    from compare import duck_bag, spark_bag
+    from conftest import SF
+    from quillon.plans import evaluation
+    from quillon.sources import shared
+
+    assert shared.dealt(spark.range(10), "id", 5_000 * shared.DEALT).rdd.getNumPartitions() == 5_000
+    monkeypatch.setattr(shared, "DEALT", 1_000)
+    monkeypatch.setattr(archive, "DEALT", 1_000)
+    for module, name in ((archive, "player_entity_matrix"), (archive, "usage_by_era"), (evaluation, "shared_entity_counts"), (evaluation, "sole_shared_entity")):
+        found = module.QUERIES[name](spark, SF)
+        assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+        assert spark_bag(found) == duck_bag(SF, module.SQL[name])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import unicodedata
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,19 +36,3 @@ def osa_distance(a: str, b: str) -> int:
 @F.pandas_udf(T.IntegerType())
 def osa(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else osa_distance(a, b) for a, b in zip(left, right, strict=True)], dtype="Int32")
-
-
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def reach_through(values: pd.Series, starts: pd.Series, widths: pd.Series, gaps: pd.Series) -> pd.Series:
-    """For each stretch (its values in order, where it starts, its width and the gap): how far the last
-    kept value reaches into the next stretch, for each amount from 0 to the gap that reaches into this."""
-    out = []
-    for own, start, width, gap in zip(values, starts, widths, gaps, strict=True):
-        v = np.asarray(own, np.int64)
-        after = np.searchsorted(v, v + gap, "right")
-        last = np.where(after < len(v), after, np.arange(len(v)))  # the next kept one, or itself
-        while (last[last] != last).any():
-            last = last[last]
-        reach = np.append(np.maximum(0, v[last] + gap + 1 - start - width), 0)
-        out.append(reach[np.searchsorted(v, start + np.arange(gap + 1))].astype(np.int32))
-    return pd.Series(out)

@@ -40,6 +40,26 @@ def test_thinned_empty(spark):
     assert thinning.peaks(spark.createDataFrame([], "key string, sec bigint, v double"), ["key"], "sec", "v", 3, 2).collect() == []
 
 
+def test_thinned_small_maps(spark, monkeypatch):
+    """A wide gap: what is stored has no more steps than a cell has reads, and no Python makes it."""
+    rows = [(k, k * 1_000 + v) for k in range(40) for v in (0, 5, 1_999, 2_001, 4_100, 150_000)]
+    plans, maps, stored = [], [], thinning.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        out = stored(df, name)
+        maps.extend(x["_map"]["ends"] for x in out.select("_map").collect())
+        return out
+
+    monkeypatch.setattr(thinning, "stored", seen)
+    found = {}
+    for row in thinning.thinned(spark.createDataFrame(rows, "key int, sec bigint"), ["key"], "sec", 2_000).collect():
+        found.setdefault(row["key"], []).append(row["sec"])
+    assert {k: sorted(v) for k, v in found.items()} == {k: plain_thinned([v for q, v in rows if q == k], 2_000) for k in range(40)}
+    assert len(plans) > 1 and not any("Python" in p or "Pandas" in p for p in plans)
+    assert max(map(len, maps)) <= 4
+
+
 def test_peaks(spark):
     r = random.Random(2)
     groups = {"hot": [(r.randrange(2_000), r.randrange(-5, 40)) for _ in range(2_000)], "ramp": [(k, k) for k in range(30)], "flat": [(k, 1) for k in range(0, 60, 4)], "low": [(1, 0), (2, -1)], None: [(1, 3), (9, 2)]}

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, text_or_empty
+from quillon.llm.common import bits_of, cut, drop_cuts, has_bit, swept, text_or_empty
 
 #: Counters of the rarity table, one byte each; the driver holds this table and no more.
 COUNTERS = 1 << 18
@@ -32,6 +32,10 @@ COUNTERS = 1 << 18
 CHUNK = 1 << 12
 #: Lines before a line that it is compared with when variants are looked for.
 NEIGHBOURS = 8
+#: Of these, the ones with the likest bitmaps whose sets are compared; one match is enough.
+LIKEST = 2
+#: Bits of a line's number (33 within a task, the rest for 8 million tasks).
+LID = 56
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
@@ -65,7 +69,9 @@ def rarity(docs: DataFrame) -> Column:
     rank = F.least(F.lit(126), 1 + F.floor(3 * F.log2("n"))).cast("int")
     rows = counts.groupBy(F.floor(F.col("slot") / CHUNK).alias("chunk")).agg(F.collect_list((F.col("slot") % CHUNK) * 128 + rank).alias("ranks"))
     table = bytearray(b"\x01" * COUNTERS)
-    for chunk, ranks in rows.collect():
+    with swept(docs.sparkSession):
+        found = rows.collect()
+    for chunk, ranks in found:
         for x in ranks:
             table[chunk * CHUNK + (x >> 7)] = x & 127
     return F.lit(bytes(table))
@@ -148,9 +154,10 @@ def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end: the
+    """Pairs (a, b) of a line with earlier ones of its band of sizes that share an end: of the
     NEIGHBOURS just before it and the one with the commonest words, for what a group of
-    variants has in common is most of such a line."""
+    variants has in common is most of such a line, the LIKEST. They only spare the probing: a
+    line that is not matched here probes all, so none is lost."""
     c = F.col
     band = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
     tokens = nodes.select("lid", F.shiftleft(c("n").cast("long"), FIELD).alias("meta"), "parity", "common", "first", band.alias("band"), F.explode("ends").alias("token"))
@@ -159,9 +166,12 @@ def _variants(nodes: DataFrame) -> DataFrame:
     best = F.max(F.struct("common", *fields)).over(before.rowsBetween(Window.unboundedPreceding, -1))
     met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields)).where("lid1 is not null")
     met = met.select("*", *(c(f"best.{x}").alias(f"{x}0") for x in fields))
-    fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(F.lit(0), c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), c(f"lid{k}"))
-    others = F.array_distinct(F.array_compact(F.array(*(fit(k) for k in range(NEIGHBOURS + 1)))))
-    pairs = met.select("lid", others.alias("others")).where("size(others) > 0").select("lid", F.explode("others").alias("other"))
+    # differing bits above the other's lid, so that the likest come first
+    likeness = lambda k: F.shiftleft(F.bit_count(c("parity").bitwiseXOR(c(f"parity{k}"))).cast("long"), LID).bitwiseOR(c(f"lid{k}"))
+    fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(F.lit(0), c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), likeness(k))
+    others = F.sort_array(F.array_distinct(F.array_compact(F.array(*(fit(k) for k in range(NEIGHBOURS + 1))))))
+    pairs = met.select("lid", F.slice(others, 1, LIKEST).alias("others")).where("size(others) > 0").select("lid", F.explode("others").alias("other"))
+    pairs = pairs.select("lid", c("other").bitwiseAND(F.lit((1 << LID) - 1)).alias("other"))
     return pairs.select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b")).distinct()
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import time
 
+from pyspark.sql import functions as F
+
 from quillon.llm import line_dedup, quality
+from quillon.llm.common import cut
 
 
 def test_repeated_rows_do_not_square(spark):
@@ -24,3 +28,25 @@ def test_quality_of_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k l " * 3)] * 1_000 + [(2, None)] * 500, "doc_id bigint, text string")
     found = quality.digest(docs).collect()
     assert len(found) == 1_500 and len({tuple(r) for r in found}) == 2
+
+
+def test_few_variants_are_compared(spark):
+    """Of 60 lines that differ in their commonest word each is compared with its likest ones only; 59 go."""
+    rows = [(k, f"one rare long line of a few more words that all of the texts here share but for a last w{k % 3}x{k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    pairs = line_dedup._variants(line_dedup._nodes(docs)).count()
+    assert 59 <= pairs <= 60 * 2 * 2
+    found = {r["doc_id"]: r["n_removed"] for r in line_dedup.digest(docs).collect()}
+    assert found == {k: int(k > 0) for k in range(60)}
+
+
+def test_cut_leaves_no_shuffle(spark):
+    blocks = lambda: set(re.findall(r"shuffle_\d+_\d+", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")))
+    before = blocks()
+    out = cut(spark.range(100_000).groupBy((F.col("id") % 1_000).alias("k")).count(), "swept")
+    for _ in range(50):
+        if not blocks() - before:
+            break
+        time.sleep(0.1)
+    assert not blocks() - before and out.count() == 1_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

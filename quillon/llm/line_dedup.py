@@ -11,7 +11,8 @@ Equal lines are one node from the start. Groups of variants are found first: amo
 that share the least or the largest hash of the rarer half of their words, in a band of
 sizes, each meets a few earlier ones. Then only lines that are not matched yet probe
 all prefix buckets, in which matched lines stay visible: no match is lost, and a group of n
-variants costs about n comparisons. Both passes join on the token; Spark splits hot tokens.
+variants costs about n comparisons. Spark splits hot tokens of the probing join. A line's text
+is found again by the hash of its place.
 
 A null or empty text is one line without words; such lines are never removed. Very long
 texts are ordinary rows: a line is one array of words, and nothing else grows with it. Rows
@@ -34,8 +35,8 @@ CHUNK = 1 << 12
 NEIGHBOURS = 8
 #: Of these, the ones with the likest bitmaps whose sets are compared; one match is enough.
 LIKEST = 2
-#: Bits of a line's number (33 within a task, the rest for 8 million tasks).
-LID = 56
+#: Parts that the lines are dealt out to when variants are looked for.
+PARTS = 1 << 16
 #: Prefixes are so much longer that a pair shares this many of their tokens (or its only word).
 SHARED = 2
 #: A token's row has open (1 bit), size and the token's place (26 bits each, for 67 million
@@ -92,18 +93,17 @@ def _lines(docs: DataFrame) -> DataFrame:
     return _split(docs).where(F.col("line").rlike("[^ \\t-\\r]"))
 
 
+def _number(place: str = "") -> Column:
+    return F.xxhash64(f"{place}doc_id", f"{place}th", f"{place}line_no")
+
+
 def _place() -> Column:
     """Earlier lines compare lower; documents without an id come last."""
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "line_no")
 
 
-def _needed(n: Column) -> Column:
-    """Least overlap of sets with n words in all: 4/9 of n, rounded up."""
-    return F.floor((4 * n + 8) / 9)
-
-
 def _nodes(docs: DataFrame) -> DataFrame:
-    """Distinct lines: lid, l1, l2 (hashes), first (place), copies, n, parity, upper, prefix, common
+    """Distinct lines: lid, number (hash of the place), l1, l2 (hashes), first (place), copies, n, parity, upper, prefix, common
     (ranks of the rarest words), ends (least and largest hash among the rarer half of the words)."""
     ranks = rarity(docs)
     c = F.col
@@ -124,26 +124,29 @@ def _nodes(docs: DataFrame) -> DataFrame:
     ends = F.array_distinct(F.transform(F.array(F.array_min("half"), F.array_max("half")), lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
     rows = rows.withColumn("ends", ends).drop("half")
     merged = rows.groupBy("l1", "l2").agg(F.min("first").alias("first"), F.count("*").alias("copies"), *(F.first(x).alias(x) for x in ("n", "parity", "upper", "prefix", "common", "ends")))
-    return cut(merged.withColumn("lid", F.monotonically_increasing_id()), "lines")
+    return cut(merged.select("*", F.monotonically_increasing_id().alias("lid"), _number("first.").alias("number")), "lines")
 
 
 def _size(meta: Column) -> Column:
     return F.shiftright(meta, FIELD).bitwiseAND(F.lit(MASK))
 
 
-def _fit(places: Column, m1: Column, b1: Column, m2: Column, b2: Column) -> Column:
-    """Length, positional (for the first SHARED common tokens, where places is MASK) and
-    bitmap filters."""
-    n1, n2, p1, p2 = _size(m1), _size(m2), m1.bitwiseAND(places), m2.bitwiseAND(places)
-    need = _needed(n1 + n2)
-    return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (F.least(n1 - p1, n2 - p2) > need - SHARED) & (F.bit_count(b1.bitwiseXOR(b2)) <= n1 + n2 - 2 * need)
+def _alike(differ: Column, n: Column) -> Column:
+    """Whether sets with n words in all may have Jaccard 0.8, so 4/9 of n in common, if so many bits differ."""
+    return 9 * differ <= n
+
+
+def _fit(m1: Column, b1: Column, m2: Column, b2: Column) -> Column:
+    """Bitmap, length and positional (for the first SHARED common tokens) filters."""
+    n1, n2, p1, p2 = _size(m1), _size(m2), m1.bitwiseAND(F.lit(MASK)), m2.bitwiseAND(F.lit(MASK))
+    places = 9 * (F.least(n1 - p1, n2 - p2) + (SHARED - 1)) >= 4 * (n1 + n2)
+    return _alike(F.bit_count(b1.bitwiseXOR(b2)), n1 + n2) & (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & places
 
 
 def _wide(m1: Column, b1: Column, u1: Column, m2: Column, b2: Column, u2: Column) -> Column:
     """The bitmap filter by 128 slots: those of upper, and those of the others."""
-    n = _size(m1) + _size(m2)
     upper = u1.bitwiseXOR(u2)
-    return F.bit_count(upper) + F.bit_count(b1.bitwiseXOR(b2).bitwiseXOR(upper)) <= n - 2 * _needed(n)
+    return _alike(F.bit_count(upper) + F.bit_count(b1.bitwiseXOR(b2).bitwiseXOR(upper)), _size(m1) + _size(m2))
 
 
 def _tokens(nodes: DataFrame, open_: Column, prefix: Column) -> DataFrame:
@@ -159,19 +162,28 @@ def _variants(nodes: DataFrame) -> DataFrame:
     variants has in common is most of such a line, the LIKEST. They only spare the probing: a
     line that is not matched here probes all, so none is lost."""
     c = F.col
-    band = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
-    tokens = nodes.select("lid", F.shiftleft(c("n").cast("long"), FIELD).alias("meta"), "parity", "common", "first", band.alias("band"), F.explode("ends").alias("token"))
-    before = Window.partitionBy("token", "band").orderBy("first", "lid")
-    fields = ("lid", "meta", "parity")
-    best = F.max(F.struct("common", *fields)).over(before.rowsBetween(Window.unboundedPreceding, -1))
-    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields)).where("lid1 is not null")
+    band = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("long")
+    tokens = nodes.select("lid", c("n"), "parity", "common", "first", band.alias("band"), F.explode("ends").alias("token"))
+    tokens = tokens.select("lid", "n", "parity", "common", "first", F.shiftleft(c("token").cast("long"), 8).bitwiseOR(c("band")).alias("of"))
+    # many groups in a partition of the window, one after the other: most have a line or two
+    before = Window.partitionBy(F.shiftright("of", 8).bitwiseAND(F.lit(PARTS - 1))).orderBy("of", "first", "lid")
+    fields = ("of", "lid", "n", "parity")
+    best = F.max(F.struct("of", "common", "lid", "n", "parity")).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    met = tokens.select(*fields, best.alias("best"), *(F.lag(x, k).over(before).alias(f"{x}{k}") for k in range(1, NEIGHBOURS + 1) for x in fields)).where("of1 = of")
     met = met.select("*", *(c(f"best.{x}").alias(f"{x}0") for x in fields))
-    # differing bits above the other's lid, so that the likest come first
-    likeness = lambda k: F.shiftleft(F.bit_count(c("parity").bitwiseXOR(c(f"parity{k}"))).cast("long"), LID).bitwiseOR(c(f"lid{k}"))
-    fit = lambda k: F.when((c(f"lid{k}") != c("lid")) & _fit(F.lit(0), c("meta"), c("parity"), c(f"meta{k}"), c(f"parity{k}")), likeness(k))
-    others = F.sort_array(F.array_distinct(F.array_compact(F.array(*(fit(k) for k in range(NEIGHBOURS + 1))))))
-    pairs = met.select("lid", F.slice(others, 1, LIKEST).alias("others")).where("size(others) > 0").select("lid", F.explode("others").alias("other"))
-    pairs = pairs.select("lid", c("other").bitwiseAND(F.lit((1 << LID) - 1)).alias("other"))
+    # the line with the commonest words may be one of the neighbours, too
+    met = met.withColumn("of0", F.when(~F.coalesce(c("lid0").isin(*(c(f"lid{k}") for k in range(1, NEIGHBOURS + 1))), F.lit(False)), c("of0")))
+    known = range(NEIGHBOURS + 1)
+    # lines of a band are of fitting length; differing bits above the other's place, so that the likest come first
+    differ = lambda k: F.bit_count(c("parity").bitwiseXOR(c(f"parity{k}")))
+    fit = lambda k: F.when((c(f"of{k}") == c("of")) & (c(f"lid{k}") != c("lid")) & _alike(differ(k), c("n") + c(f"n{k}")), 16 * differ(k) + k)
+    fits = [c(f"fit{k}") for k in known]
+    met = met.select("lid", *(c(f"lid{k}") for k in known), *(fit(k).alias(f"fit{k}") for k in known))
+    ranked = met.withColumn("rank0", F.least(*fits)).where("rank0 is not null")
+    for k in range(1, LIKEST):
+        ranked = ranked.withColumn(f"rank{k}", F.least(*(F.when(f > c(f"rank{k - 1}"), f) for f in fits)))
+    other = lambda r: F.get(F.array(*(c(f"lid{k}") for k in known)), F.col(r).bitwiseAND(F.lit(15)))
+    pairs = ranked.select("lid", F.explode(F.array(*(other(f"rank{k}") for k in range(LIKEST)))).alias("other")).where("other is not null")
     return pairs.select(F.greatest("lid", "other").alias("a"), F.least("lid", "other").alias("b")).distinct()
 
 
@@ -183,54 +195,47 @@ def _probed(nodes: DataFrame, matched: DataFrame) -> DataFrame:
     is_open = lambda s: s("meta") >= F.lit(1 << 2 * FIELD)
     # one expression over both sides, so that these stay one exchange
     meets = F.when(is_open(x) & is_open(y), x("lid") < y("lid")).otherwise(is_open(x) & (x("lid") != y("lid")))
-    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(F.lit(MASK), x("meta"), x("parity"), y("meta"), y("parity")) & _wide(x("meta"), x("parity"), x("upper"), y("meta"), y("parity"), y("upper")))
+    both = tokens.alias("x").join(tokens.alias("y"), (x("token") == y("token")) & meets & _fit(x("meta"), x("parity"), y("meta"), y("parity")) & _wide(x("meta"), x("parity"), x("upper"), y("meta"), y("parity"), y("upper")))
     # two lines of one word each have no more to share
     shared = F.sum(F.when(_size(x("meta")) < SHARED, SHARED).otherwise(1))
     return both.groupBy(F.greatest("x.lid", "y.lid").alias("a"), F.least("x.lid", "y.lid").alias("b")).agg(shared.alias("k")).where(F.col("k") >= SHARED).select("a", "b")
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether rows repeat id and text."""
-    rows = docs.groupBy("doc_id", F.xxhash64("text").alias("th")).agg(F.count("*").alias("n"))
-    return not rows.where("n > 1").isEmpty()
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, repeats: bool) -> DataFrame:
-    """The lid of each pair's later line, where the sets' Jaccard is 0.8 or more. The sets are
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """lid, l1, l2 of each pair's later line, where the sets' Jaccard is 0.8 or more. The sets are
     read again from the texts; a fixed table of bits keeps most other lines from the join. Where rows
     repeat, a line's set is there as often, and one of them is kept."""
     c = F.col
     lids = pairs.select(c("a").alias("wanted")).unionByName(pairs.select(c("b").alias("wanted"))).distinct()
-    wanted = cut(nodes.join(lids, c("lid") == c("wanted"), "left_semi").select("lid", "first"), "wanted")
-    at = lambda p: F.xxhash64(c(f"{p}doc_id"), c(f"{p}th"), c(f"{p}line_no"))
-    seen = bits_of(wanted, at("first."))
-    lines = _split(docs).where(has_bit(seen, at("")))
-    same = c("doc_id").eqNullSafe(c("first.doc_id")) & (c("th") == c("first.th")) & (c("line_no") == c("first.line_no"))
-    sets = lines.join(wanted, same).select("lid", "first", _hashes("line").alias("h"))
-    sets = sets.dropDuplicates(["lid"]) if repeats else sets
-    one = sets.select(c("lid").alias("a"), c("first").alias("fa"), c("h").alias("ha"))
-    two = sets.select(c("lid").alias("b"), c("first").alias("fb"), c("h").alias("hb"))
+    wanted = cut(nodes.join(lids, c("lid") == c("wanted"), "left_semi").select("lid", c("number").alias("wanted")), "wanted")
+    seen = bits_of(wanted, c("wanted"))
+    lines = _split(docs).withColumn("number", _number()).where(has_bit(seen, c("number")))
+    found = lines.join(wanted, c("number") == c("wanted")).select("lid", _place().alias("first"), "line").dropDuplicates(["lid"])
+    sets = found.select("lid", "first", F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), _hashes("line").alias("h"))
+    one = sets.select(c("lid").alias("a"), F.struct("first", "lid", "l1", "l2").alias("x"), c("h").alias("ha"))
+    two = sets.select(c("lid").alias("b"), F.struct("first", "lid", "l1", "l2").alias("y"), c("h").alias("hb"))
     both = pairs.join(one, "a").join(two, "b")
     both = both.where(9 * F.size(F.array_intersect("ha", "hb")) >= 4 * (F.size("ha") + F.size("hb")))
-    out = cut(both.select(F.when(c("fa") > c("fb"), c("a")).otherwise(c("b")).alias("lid")).distinct(), "matched")
+    later = both.select(F.greatest("x", "y").alias("z")).select("z.lid", "z.l1", "z.l2")
+    out = cut(later.distinct(), "matched")
     drop_cuts(wanted)
     return out
 
 
 def find(docs: DataFrame) -> DataFrame:
     """l1, l2, first of the distinct lines that are repeated or have an earlier match, and
-    `matched`: the latter."""
+    `matched`: the latter. Of lines that are not repeated first is null."""
     docs = docs.select("doc_id", "text")
-    repeats = _repeats(docs)
     nodes = _nodes(docs)
     near = cut(_variants(nodes), "near")
-    matched = _verified(docs, nodes, near, repeats)
-    pairs = cut(_probed(nodes, matched), "pairs")
-    more = _verified(docs, nodes, pairs, repeats)
+    matched = _verified(docs, nodes, near)
+    pairs = cut(_probed(nodes, matched.select("lid")), "pairs")
+    more = _verified(docs, nodes, pairs)
     drop_cuts(near, pairs)
-    hits = matched.unionByName(more).select(F.col("lid").alias("hit")).distinct()
-    found = nodes.select("lid", "l1", "l2", "first", "copies").join(hits, F.col("lid") == F.col("hit"), "left").where("hit is not null or copies > 1")
-    found = cut(found.select("l1", "l2", "first", F.col("hit").isNotNull().alias("matched")), "found")
+    copied = nodes.where("copies > 1").select("l1", "l2", "first", F.lit(False).alias("matched"))
+    hits = matched.unionByName(more).select("l1", "l2", F.lit(None).cast(nodes.schema["first"].dataType).alias("first"), F.lit(True).alias("matched"))
+    found = copied.unionByName(hits).groupBy("l1", "l2").agg(F.min("first").alias("first"), F.max("matched").alias("matched"))
+    found = cut(found, "found")
     drop_cuts(nodes, matched, more)
     return found
 
@@ -256,7 +261,9 @@ def _changed(docs: DataFrame) -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers from 0) of every document."""
     gone = removed_lines(docs).withColumnsRenamed({"doc_id": "d", "th": "t"})
-    short = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"), F.size(F.split(text_or_empty(), "\n")).cast("long").alias("n_lines"))
+    text = text_or_empty()
+    n_lines = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    short = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"), n_lines.alias("n_lines"))
     both = short.join(gone, (F.col("th") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
     lost = F.coalesce("removed", F.array().cast("array<int>"))
     return both.select("doc_id", "n_lines", F.size(lost).cast("long").alias("n_removed"), lost.alias("removed_lines"))

@@ -50,3 +50,10 @@ def test_cut_leaves_no_shuffle(spark):
         time.sleep(0.1)
     assert not blocks() - before and out.count() == 1_000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_filters_in_whole_numbers_are_exact(spark):
+    """The filter by differing bits keeps what may share 4/9 of n words, rounded up, and nothing else."""
+    cases = [(n, d) for n in range(2, 200) for d in range(n % 2, n + 1, 2)]
+    rows = spark.createDataFrame(cases, "n int, d int").select("n", "d", line_dedup._alike(F.col("d"), F.col("n")).alias("kept")).collect()
+    assert len(rows) == len(cases) and all(r["kept"] == (r["d"] <= r["n"] - 2 * -(-4 * r["n"] // 9)) for r in rows)
